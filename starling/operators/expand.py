@@ -42,7 +42,9 @@ def _by_frequency(freq, table: dict) -> F.Column:
 def installment_schedule(policies: DataFrame, as_of: _dt.date, carry: list[str] | None = None) -> DataFrame:
     """One row per due installment: policy columns + frequency, installment_no, due_date, expected_amount."""
     carry = carry or []
-    freq = pick(FREQUENCIES, hash32("frequency", "policy_id"))
+    # a policy's frequency is drawn from its key unless the input already carries one
+    freq = (F.col("payment_frequency") if "payment_frequency" in policies.columns
+            else pick(FREQUENCIES, hash32("frequency", "policy_id")))
     df = policies.select("policy_id", "customer_id", "premium", "start_date", "end_date", *carry,
                          freq.alias("payment_frequency"))
     step = _by_frequency(F.col("payment_frequency"), FREQUENCY_STEP_DAYS)

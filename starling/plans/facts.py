@@ -83,6 +83,11 @@ def payment_rows(policies: DataFrame, dim_customer: DataFrame, dim_county: DataF
     cust = customer_county_ids(dim_customer, dim_county, params).drop("county")
     types = checked_broadcast(dim_policy_type.select("policy_type", "policy_type_id"), params.broadcast_max_rows)
     base = policies.join(cust, "customer_id", "left").join(types, "policy_type", "left")
+    # The schedule multiplies rows ~20x.  AQE sizes the join output by its
+    # pre-expansion bytes, which would leave the expansion to a few tasks;
+    # a fixed-count repartition of the (small) policy side spreads it.
+    n = int(policies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = base.repartition(n, "policy_id")
     sched = installment_schedule(base, params.as_of, carry=["county_id", "policy_type_id"])
     df = payment_attributes(sched).withColumn("date_key", F.col("payment_date"))
     return df.withColumn("created_at", F.lit(params.load_ts).cast("timestamp"))
