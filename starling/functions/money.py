@@ -54,6 +54,11 @@ def money(x) -> Column:
     return _c(x).cast(MONEY)
 
 
+def lenient_money(x) -> Column:
+    """Lenient numeric cast (``to_numeric(errors="coerce")``): unparsable -> null, never an error."""
+    return _c(x).try_cast(MONEY)
+
+
 def as_double(x) -> Column:
     """Presentation cast (after all rounding happened in decimal)."""
     return _c(x).cast("double")

@@ -39,7 +39,10 @@ def _in_window(df: DataFrame, star: Star) -> DataFrame:
     """Static date-range filter implied by the year window: pushed into the Parquet scan
     (row groups of date-clustered facts are skipped); the calendar join still decides."""
     lo, hi = _window_bounds(star)
-    return df.where(F.col("date_key").between(F.lit(lo), F.lit(hi)))
+    out = df.where(F.col("date_key").between(F.lit(lo), F.lit(hi)))
+    if "date_month" in df.columns:  # stored facts: prune month partitions too
+        out = out.where(F.col("date_month").between(F.lit(lo.replace(day=1)), F.lit(hi.replace(day=1))))
+    return out
 
 
 def _dates_in_window(star: Star) -> DataFrame:

@@ -13,6 +13,7 @@ from starling.functions.money import as_double, round_sum
 from starling.operators.quality import count_checks, null_profile, value_counts, with_membership
 from starling.plans import facts
 from starling.plans.star import Star
+from starling.schemas import FACT_SALES
 
 PREMIUM_MAX = 1_000_000
 
@@ -71,7 +72,7 @@ def lookup_misses(star: Star) -> DataFrame:
 
 def null_profile_sales(star: Star) -> DataFrame:
     """AGG-18: null count of every fact_sales column."""
-    return null_profile(star.fact_sales)
+    return null_profile(star.fact_sales, FACT_SALES.fieldNames())
 
 
 def value_counts_payments(star: Star) -> DataFrame:

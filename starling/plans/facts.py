@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starling.functions.hashing import hash32, stable_id
+from starling.functions.money import lenient_money
 from starling.operators.expand import installment_schedule, payment_attributes
 from starling.operators.keys import assign_partner, split_by_reference
 from starling.operators.lookup import bounded_broadcast, checked_broadcast
@@ -45,7 +46,7 @@ def fact_sales(policies: DataFrame, dim_customer: DataFrame, dim_policy_type: Da
     out = df.select(
         stable_id("sale", "policy_id").alias("sale_id"), "policy_id", "customer_id", "agent_id",
         F.col("start_date").alias("date_key"), "policy_type_id", "county_id",
-        F.col("premium").alias("premium_amount"), commission_rate("policy_id").alias("commission_rate"),
+        lenient_money("premium").alias("premium_amount"), commission_rate("policy_id").alias("commission_rate"),
         "policy_type", "start_date", "end_date", F.col("status").alias("policy_status"))
     return conform(out, FACT_SALES)
 
@@ -70,8 +71,8 @@ def fact_claims(claims: DataFrame, dim_customer: DataFrame, dim_county: DataFram
     out = df.select(
         "claim_id", "policy_id", "customer_id", F.col("claim_date").alias("date_key"),
         F.col("incident_date").alias("incident_date_key"), "status_id", "county_id", "policy_type_id",
-        "claim_type", F.col("claim_amount").cast(MONEY).alias("claim_amount"),
-        F.coalesce(F.col("approved_amount").cast(MONEY), F.lit(0).cast(MONEY)).alias("approved_amount"),
+        "claim_type", lenient_money("claim_amount").alias("claim_amount"),
+        F.coalesce(lenient_money("approved_amount"), F.lit(0).cast(MONEY)).alias("approved_amount"),
         "claim_status", "incident_date", "claim_date",
         F.coalesce(F.col("created_at"), F.lit(params.load_ts)).alias("created_at"))
     return conform(out, FACT_CLAIMS)

@@ -30,7 +30,7 @@ from starling.plans import checks, dims, facts
 from starling.plans.star import Star
 from starling.schemas import STAR, conform
 from starling.sinks.writers import write_snapshot
-from starling.sources.files import path_exists, read_parquet
+from starling.sources.files import path_exists, read_parquet, require_rows
 
 FACT_KEYS = {"fact_sales": "policy_id", "fact_claims": "claim_id", "fact_payments": "payment_id"}
 FACT_ORDER = ["fact_sales", "fact_claims", "fact_payments"]
@@ -52,7 +52,13 @@ class Warehouse:
         return conform(read_parquet(self.spark, self.path(name)), STAR[name])
 
     def read(self, name: str) -> DataFrame:
-        return conform(read_parquet(self.spark, self.path(name)), STAR[name])
+        """Stored table in its declared schema; facts keep their partition column
+        (``date_month``) last, so date filters can also prune partitions."""
+        df = read_parquet(self.spark, self.path(name))
+        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR[name].fields]
+        if name in FACT_KEYS and PARTITION_COL in df.columns:
+            cols.append(F.col(PARTITION_COL))
+        return df.select(*cols)
 
     def stage(self, name: str, df: DataFrame, run_id: str) -> DataFrame:
         """Write the batch once and read it back: one fixed batch for count, snapshot and append."""
@@ -149,6 +155,7 @@ def run(spark: SparkSession, domain: dict[str, DataFrame], root: str, params: Ru
     run_id = uuid.uuid4().hex[:12]  # names this run's staging folder only; no data depends on it
     wh = Warehouse(spark, root)
     report: dict = {"run_id": run_id}
+    require_rows(domain["policies"], "policies")  # one-row probe, not a count
     if with_checks:
         pre = Star(spark, domain, params)
         report["dq"] = _timed(report, "dq", lambda: data_quality(pre))

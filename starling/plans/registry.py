@@ -18,7 +18,6 @@ from starling.plans import checks as Q
 from starling.plans import keysets as K
 from starling.plans import views as V
 from starling.plans.star import Star
-from starling.schemas import DIM_AGENT, DIM_CUSTOMER, FACT_CLAIMS, FACT_PAYMENTS, FACT_SALES
 from starling.sources import testbed
 from starling.streaming import decode as D
 
@@ -129,13 +128,38 @@ FEED_QUERIES = {
 
 ALL = list(STAR_QUERIES) + list(FEED_QUERIES)
 
+# The reference's presentation order per query (ORDER BY ... ; DESC puts nulls first as in
+# PostgreSQL).  Results are sets; order is applied only on request (``run(..., ordered=True)``).
+# "-col" = descending with nulls first
+ORDER_BY = {
+    "monthly_premium": ["year", "month"], "period_labels": ["year", "month"],
+    "collections_as_written": ["year", "month"], "collections_corrected": ["year", "month"],
+    "collections_chart": ["year", "month"],
+    "county_premium": ["-total_premium"], "money_labels": ["-total_premium"],
+    "policy_type_dist": ["-count"], "premium_share": ["-count"],
+    "claims_status": ["-claims"], "claims_totals_by_status": ["-claims"], "v_claims_summary": ["-claims"],
+    "loss_ratio_as_written": ["-loss_ratio_pct"], "loss_ratio_corrected": ["-loss_ratio_pct"],
+    "loss_ratio_tier": ["-loss_ratio_pct"],
+    "agent_top10": ["-total_premium"], "payments_by_method_status_top10": ["-payments"],
+    "payment_method": ["-total_collected"], "v_payment_methods": ["-total_collected"],
+    "late_by_frequency": ["-late_pct"], "late_by_policy_type": ["-late_payments"],
+    "age_band": ["age_band"], "age_band_corrected": ["age_band"],
+    "sales_by_type": ["-total_premium"], "v_premium_by_policy_type": ["-total_premium"],
+    "v_monthly_trends": ["month"], "value_counts": ["column_name", "-n"],
+}
+
 
-def run(spark: SparkSession, sf_dir: str, name: str, params: RunParams | None = None) -> DataFrame:
+def run(spark: SparkSession, sf_dir: str, name: str, params: RunParams | None = None,
+        ordered: bool = False) -> DataFrame:
     params = params or RunParams()
     if name in FEED_QUERIES:
-        return FEED_QUERIES[name](spark, sf_dir, params)
-    star = Star.from_sf_dir(spark, sf_dir, params)
-    return STAR_QUERIES[name](star)
+        df = FEED_QUERIES[name](spark, sf_dir, params)
+    else:
+        df = STAR_QUERIES[name](Star.from_sf_dir(spark, sf_dir, params))
+    if not ordered or name not in ORDER_BY:
+        return df
+    return df.orderBy(*[F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc()
+                        for c in ORDER_BY[name]])
 
 
 def callables(params: RunParams | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
