@@ -16,8 +16,15 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def checked_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged."""
+def checked_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df`` unchanged.
+
+    ``max_rows=None``: the side is a stored table whose file statistics are
+    exact, so Spark's own size check (``autoBroadcastJoinThreshold``, then
+    AQE at runtime) decides, with a sort-merge join beyond it.
+    """
+    if max_rows is None:
+        return df
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 

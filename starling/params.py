@@ -24,9 +24,11 @@ class RunParams:
     # "previous run" date used by the incremental (new rows only) queries
     prev_as_of: _dt.date = _dt.date(2000, 12, 31)
     # rows at or below which a lookup side is broadcast (checked, see operators.lookup)
-    broadcast_max_rows: int = 2_000_000
+    broadcast_max_rows: int | None = 2_000_000  # None: Spark's size statistics decide
     # years of history shown by the monthly queries (reference: CURRENT_DATE - 3 years .. now)
     trend_years: int = 3
+    # concurrent independent steps in the full run (dimensions; then the three facts)
+    parallel_steps: int = 3
     extra: dict = field(default_factory=dict)
 
     @staticmethod

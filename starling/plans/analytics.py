@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.money import as_double, exact_avg, exact_avg_int, pct_of_counts, ratio_pct, round_sum
+from starling.functions.money import as_double, pct_of_counts, ratio_pct, round_sum
 from starling.operators.fanout import fanout_join, per_key
 from starling.operators.lookup import bounded_broadcast, checked_broadcast
 from starling.plans.star import Star

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.money import as_double, round_sum
+from starling.functions.money import as_double
 from starling.operators.quality import count_checks, null_profile, value_counts, with_membership
 from starling.plans import facts
 from starling.plans.star import Star

@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starling.functions import columns as C
 from starling.functions.hashing import hash32, pick
 from starling.operators.keys import assign_serial_keys, only_new_rows
+from starling.operators.lookup import checked_broadcast
 from starling.params import RunParams
 from starling.schemas import DIM_AGENT, DIM_CUSTOMER, conform
 from starling.sources import literals
 
+REGION_MAP_MAX_ROWS = 1_000_000
+
 
 def dim_date(spark: SparkSession, policies: DataFrame | None, params: RunParams,
              existing: DataFrame | None = None) -> DataFrame:
@@ -56,7 +59,6 @@ def dim_claim_status(spark: SparkSession, existing: DataFrame | None = None) ->
     new = names.join(existing.select("status_name"), "status_name", "left_anti")
     base = existing.select(F.coalesce(F.max("status_id"), F.lit(0))).scalar()
     # rank among the (at most 5) new literal members by load order: a literal, bounded relation
-    from pyspark.sql import Window
     rank = F.row_number().over(Window.orderBy("load_order"))
     return new.select((base + rank).cast("int").alias("status_id"), "status_name")
 
@@ -65,11 +67,12 @@ def region_of(df: DataFrame, county_col: str, region_map: DataFrame | None) -> D
     """Add ``region`` from a (county, region) lookup, default 'Other'.
 
     ``region_map=None`` uses the fixed 5-county literal map.  A lookup table is
-    one row per county (bounded), broadcast.
+    one row per county, broadcast behind a checked row count.
     """
     if region_map is None:
         return df.withColumn("region", C.region_literal(F.col(county_col)))
-    rm = F.broadcast(region_map.select(F.col("county").alias("_rc"), F.col("region").alias("_rr")))
+    rm = checked_broadcast(region_map.select(F.col("county").alias("_rc"), F.col("region").alias("_rr")),
+                           REGION_MAP_MAX_ROWS)
     out = df.join(rm, df[county_col] == rm["_rc"], "left")
     return out.withColumn("region", F.coalesce(F.col("_rr"), F.lit(C.REGION_DEFAULT))).drop("_rc", "_rr")
 

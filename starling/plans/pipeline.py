@@ -20,13 +20,14 @@ from __future__ import annotations
 import dataclasses
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.operators.keys import only_new_rows
 from starling.params import RunParams
-from starling.plans import checks, dims, facts
+from starling.plans import checks, dims
 from starling.plans.star import Star
 from starling.schemas import STAR, conform
 from starling.sinks.writers import write_snapshot
@@ -83,6 +84,18 @@ class Warehouse:
         out.write.mode("append").partitionBy(PARTITION_COL).parquet(self.path(name))
 
 
+def _concurrently(report: dict, names: list[str], step, workers: int) -> None:
+    """Run independent steps as concurrent Spark jobs from driver threads (each timed)."""
+    if workers <= 1:
+        for n in names:
+            _timed(report, n, lambda n=n: step(n))
+        return
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        futures = [pool.submit(_timed, report, n, lambda n=n: step(n)) for n in names]
+        for f in futures:
+            f.result()
+
+
 def _timed(report: dict, name: str, fn):
     t0 = time.time()
     out = fn()
@@ -101,16 +114,16 @@ def build_dimensions(spark: SparkSession, domain: dict[str, DataFrame], wh: Ware
         "dim_customer": lambda ex: dims.dim_customer(domain["customers"], params, rm, ex),
         "dim_agent": lambda ex: dims.dim_agent(domain["agents"], rm, ex),
     }
-    for name in DIM_ORDER:
-        def step(name=name):
-            existing = wh.existing(name)
-            new = conform(builders[name](existing), STAR[name])
-            batch = wh.stage(name, new, run_id)
-            n = batch.count()
-            if n:
-                wh.append_dim(name, batch)
-            report.setdefault("appended", {})[name] = n
-        _timed(report, name, step)
+    def step(name):
+        existing = wh.existing(name)
+        new = conform(builders[name](existing), STAR[name])
+        batch = wh.stage(name, new, run_id)
+        n = batch.count()
+        if n:
+            wh.append_dim(name, batch)
+        report.setdefault("appended", {})[name] = n
+
+    _concurrently(report, DIM_ORDER, step, params.parallel_steps)
     return {name: wh.read(name) for name in DIM_ORDER}
 
 
@@ -118,19 +131,22 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
                 run_id: str, report: dict, dim_tables: dict[str, DataFrame],
                 lake_root: str | None = None, snapshot_ts=None) -> None:
     # stored dimensions have file statistics: the planner's size check decides broadcasts
-    star = Star(spark, domain, dataclasses.replace(params), dim_tables)
-    for name in FACT_ORDER:
-        def step(name=name):
-            built = star.table(name)
-            new = only_new_rows(built, wh.existing(name), FACT_KEYS[name])
-            batch = wh.stage(name, new, run_id)
-            n = batch.count()
-            if lake_root is not None:
-                write_snapshot(batch, lake_root, name, snapshot_ts)
-            if n:
-                wh.append_fact(name, batch)
-            report.setdefault("appended", {})[name] = n
-        _timed(report, name, step)
+    star = Star(spark, domain, dataclasses.replace(params, broadcast_max_rows=None), dim_tables)
+    for name in FACT_ORDER:  # define the (lazy) plans on this thread
+        star.table(name)
+
+    def step(name):
+        built = star.table(name)
+        new = only_new_rows(built, wh.existing(name), FACT_KEYS[name])
+        batch = wh.stage(name, new, run_id)
+        n = batch.count()
+        if lake_root is not None:
+            write_snapshot(batch, lake_root, name, snapshot_ts)
+        if n:
+            wh.append_fact(name, batch)
+        report.setdefault("appended", {})[name] = n
+
+    _concurrently(report, FACT_ORDER, step, params.parallel_steps)
 
 
 def data_quality(star: Star) -> dict[str, list[dict]]:
@@ -172,4 +188,4 @@ def stored_star(spark: SparkSession, root: str, params: RunParams | None = None,
     """The star schema as stored under ``root`` (for analytics over written tables)."""
     wh = Warehouse(spark, root)
     tables = {name: wh.read(name) for name in DIM_ORDER + FACT_ORDER}
-    return Star.from_tables(spark, tables, params or RunParams(), domain)
+    return Star.from_tables(spark, tables, params or RunParams(), domain, stored=True)

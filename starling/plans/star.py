@@ -8,6 +8,7 @@ back from the warehouse) so analytics run on stored tables.
 
 from __future__ import annotations
 
+import dataclasses
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,11 @@ class Star:
 
     @classmethod
     def from_tables(cls, spark: SparkSession, tables: dict[str, DataFrame], params: RunParams,
-                    domain: dict[str, DataFrame] | None = None) -> "Star":
+                    domain: dict[str, DataFrame] | None = None, stored: bool = False) -> "Star":
+        """Wrap given tables; ``stored=True`` (read from files) lets the planner's
+        file-size statistics decide broadcasts instead of a row-count probe."""
+        if stored:
+            params = dataclasses.replace(params, broadcast_max_rows=None)
         return cls(spark, domain or {}, params, tables)
 
     def _get(self, name, build):
