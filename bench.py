@@ -19,7 +19,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from starling.params import RunParams  # noqa: E402
-from starling.plans import pipeline, registry  # noqa: E402
+from starling.plans import load, registry  # noqa: E402
 from starling.session import build_session  # noqa: E402
 from starling.sources import testbed  # noqa: E402
 
@@ -45,12 +45,12 @@ def main() -> None:
 
     domain = testbed.domain(spark, sf_dir, params)
     t0 = time.time()
-    report = pipeline.run(spark, domain, os.path.join(scratch, "warehouse"), params, with_checks=False)
+    report = load.run(spark, domain, os.path.join(scratch, "warehouse"), params, with_checks=False)
     for k, v in report["seconds"].items():
         times[f"etl_{k}"] = v
     times["etl_total"] = round(time.time() - t0, 3)
 
-    star = pipeline.stored_star(spark, os.path.join(scratch, "warehouse"), params, domain)
+    star = load.stored_star(spark, os.path.join(scratch, "warehouse"), params, domain)
     for name, q in registry.STAR_QUERIES.items():
         if name in SKIP:
             continue

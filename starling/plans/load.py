@@ -1,4 +1,4 @@
-"""The full run (PIP-14): dimensions -> facts -> verification -> views.
+"""The full load (PIP-14): dimensions -> facts -> verification -> views.
 
 Storage layout under one warehouse root (a shared file system / object store
 path on a cluster):

@@ -4,26 +4,26 @@ import tempfile
 
 from starling.params import RunParams
 from starling.plans import analytics as A
-from starling.plans import pipeline
+from starling.plans import load
 from starling.plans.star import Star
 from starling.sources import testbed
 from tests.conftest import SF_SMALL, rows
 
 
-def test_pipeline_is_idempotent_and_matches_lazy_star(spark):
+def test_full_load_is_idempotent_and_matches_lazy_star(spark):
     params = RunParams()
     root = tempfile.mkdtemp(prefix="wh-test-")
     lake = tempfile.mkdtemp(prefix="lake-test-")
     domain = testbed.domain(spark, SF_SMALL, params)
-    first = pipeline.run(spark, domain, root, params, lake_root=lake + "/snap1")
+    first = load.run(spark, domain, root, params, lake_root=lake + "/snap1")
     assert first["appended"]["fact_sales"] == domain["policies"].count()
     assert first["appended"]["dim_claim_status"] == 5
     assert first["verify"]["reconcile_claims"]["missing_rows"] == 0
     assert first["verify"]["verify_sales"]["orphaned_rows"] == 0
-    second = pipeline.run(spark, domain, root, params, lake_root=lake + "/snap2", with_checks=False)
+    second = load.run(spark, domain, root, params, lake_root=lake + "/snap2", with_checks=False)
     assert all(v == 0 for v in second["appended"].values()), second["appended"]
 
-    stored = pipeline.stored_star(spark, root, params, domain)
+    stored = load.stored_star(spark, root, params, domain)
     lazy = Star(spark, domain, params)
     for name in ["fact_sales", "fact_claims", "fact_payments", "dim_customer", "dim_agent", "dim_date"]:
         assert stored.table(name).count() == lazy.table(name).count(), name
