@@ -62,9 +62,12 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Return the shared checkpoint directory, setting a scratch one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the checkpoint dir
+        return None
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -76,5 +79,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession) -> str | None:
     return ensure_checkpoint_dir(spark)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_shuffle_partition_bytes: int = 256 << 20,
+                 max_shuffle_partitions: int = 200_000) -> dict:
+    """Sizing for a job reading ``input_bytes`` on ``total_cores`` task slots.
+
+    Initial shuffle partitions ~ input / 256 MB (at least 2 x cores, capped):
+    every reduce task then holds a few hundred MB at most and AQE coalesces
+    small partitions and splits skewed ones at runtime; scan splits stay at
+    128 MB; size-based (not parallelism-first) coalescing on a busy cluster.
+    E.g. 100 TB on 1000 executors x 8 cores -> ~200k shuffle partitions.
+    """
+    parts = max(2 * total_cores, min(max_shuffle_partitions, -(-input_bytes // target_shuffle_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(128 << 20),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -144,7 +144,8 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message topic: (key, value, seq, ts) with flat JSON values per event type."""
     # a topic is partitioned: spread events by id over the task slots before encoding
     # (the source file may be one row group, i.e. a single scan task)
-    e = read_driver(spark, sf_dir, "events").repartition(spark.sparkContext.defaultParallelism, "event_id")
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = read_driver(spark, sf_dir, "events").repartition(slots, "event_id")
     k = F.get_json_object("props", "$.k").cast("int")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     day = F.to_date("ts").cast("string")
