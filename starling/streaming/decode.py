@@ -37,7 +37,9 @@ def parse(df: DataFrame) -> DataFrame:
     """Add ``msg`` (parsed struct) and ``malformed`` (value is not a JSON object)."""
     v = F.col("value").cast("string")
     msg = F.from_json(v, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    out = df.withColumn("msg", msg)
+    # Parse once: a generator output is a barrier for predicate pushdown, so the
+    # filters downstream (malformed, known types) cannot re-inline from_json below it.
+    out = df.withColumn("msg", F.explode(F.array(msg)))
     return out.withColumn("malformed", v.isNull() | F.col("msg").isNull() | F.col(f"msg.{_CORRUPT}").isNotNull())
 
 
