@@ -5,7 +5,8 @@ path on a cluster):
 
     {root}/dim_*            Parquet, append-only (insert-only dimensions)
     {root}/fact_*           Parquet, partitioned by month of date_key
-    {root}/_staging/...     each run's new rows, written once then read back
+    {checkpoint dir}/starling-staging/{run}/{table}
+                            each run's new rows, written once then read back
     {lake}/{table}_{ts}     optional timestamped snapshots
 
 Every step is re-runnable: dimensions and facts append only keys not yet
@@ -31,6 +32,7 @@ from starling.plans import checks, dims
 from starling.plans.star import Star
 from starling.schemas import STAR, conform
 from starling.sinks.writers import write_snapshot
+from starling.session import checkpoint_dir
 from starling.sources.files import path_exists, read_parquet, require_rows
 
 FACT_KEYS = {"fact_sales": "policy_id", "fact_claims": "claim_id", "fact_payments": "payment_id"}
@@ -61,9 +63,24 @@ class Warehouse:
             cols.append(F.col(PARTITION_COL))
         return df.select(*cols)
 
+    def existing_between(self, name: str, lo, hi) -> DataFrame | None:
+        """Stored fact rows whose month lies in [lo, hi]: partition-pruned, so an
+        incremental run never rescans the table's whole history."""
+        if not path_exists(self.spark, self.path(name)):
+            return None
+        df = read_parquet(self.spark, self.path(name))
+        if lo is not None:  # (no dated rows in the batch: compare against everything)
+            df = df.where(F.col(PARTITION_COL).between(F.trunc(F.lit(lo), "MM"), F.trunc(F.lit(hi), "MM")))
+        return conform(df, STAR[name])
+
     def stage(self, name: str, df: DataFrame, run_id: str) -> DataFrame:
-        """Write the batch once and read it back: one fixed batch for count, snapshot and append."""
-        path = f"{self.root}/_staging/{name}/{run_id}"
+        """Write the batch once and read it back: one fixed batch for count, snapshot and append.
+
+        Staged under the cluster's checkpoint folder (``spark.checkpoint.dir``,
+        read from the session), else under the warehouse root.
+        """
+        base = checkpoint_dir(self.spark) or f"{self.root}/_staging"
+        path = f"{base.rstrip('/')}/starling-staging/{run_id}/{name}"
         df.write.mode("errorifexists").parquet(path)
         return read_parquet(self.spark, path)
 
@@ -136,9 +153,15 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
         star.table(name)
 
     def step(name):
-        built = star.table(name)
-        new = only_new_rows(built, wh.existing(name), FACT_KEYS[name])
-        batch = wh.stage(name, new, run_id)
+        # the fact is built exactly once: its candidate rows are staged first
+        candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
+        batch = candidates
+        if path_exists(spark, wh.path(name)):
+            # every generated key has a fixed date_key, so a stored duplicate can only
+            # sit in the months this batch touches: prune the target to those months
+            b = candidates.agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
+            existing = wh.existing_between(name, b["lo"], b["hi"])
+            batch = wh.stage(name, only_new_rows(candidates, existing, FACT_KEYS[name]), run_id)
         n = batch.count()
         if lake_root is not None:
             write_snapshot(batch, lake_root, name, snapshot_ts)
