@@ -153,6 +153,12 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
         star.table(name)
 
     def step(name):
+        if lake_root is None and not path_exists(spark, wh.path(name)):
+            # initial load, no snapshot: nothing to reconcile against, so the one
+            # build is appended directly and counted from the written files
+            wh.append_fact(name, star.table(name))
+            report.setdefault("appended", {})[name] = read_parquet(spark, wh.path(name)).count()
+            return
         # the fact is built exactly once: its candidate rows are staged first
         candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
         batch = candidates
