@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.hashing import hash32
 from starling.operators.lookup import checked_broadcast
+from starling.session import checkpoint_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id(): partition index in the upper 31 bits
 
@@ -38,16 +39,24 @@ def split_by_reference(df: DataFrame, ref: DataFrame, key: str, ref_key: str | N
     return df.join(r, cond, "left_semi"), df.join(r, cond, "left_anti")
 
 
+def _pinned(df: DataFrame) -> DataFrame:
+    """Eager reliable checkpoint into the session's ``spark.checkpoint.dir``."""
+    if checkpoint_dir(df.sparkSession) is None:  # remote session without one: plan reuse only
+        return df
+    return df.checkpoint(eager=True)
+
+
 def dense_index(df: DataFrame, order_cols: list[str], name: str = "_idx") -> DataFrame:
     """Add a 0-based position of each row in the global order of ``order_cols``.
 
-    Range-partition + sort (distributed), tag rows with
-    ``monotonically_increasing_id`` (partition id | row in partition), count
-    rows per partition (one row per partition), turn counts into offsets with a
-    window over that tiny table, and add the offset back via a broadcast join.
-    Both branches read the same range exchange, which Spark reuses.
+    Range-partition + sort (distributed), pin the sorted rows with a reliable
+    checkpoint (so both uses below read the very same partitions, also after a
+    lost executor), tag rows with ``monotonically_increasing_id`` (partition id
+    | row in partition), count rows per partition (one row per partition), turn
+    counts into offsets with a window over that tiny table, and add the offset
+    back via a broadcast join (bounded by the number of partitions).
     """
-    ordered = df.orderBy(*order_cols).withColumn("_mid", F.monotonically_increasing_id())
+    ordered = _pinned(df.orderBy(*order_cols)).withColumn("_mid", F.monotonically_increasing_id())
     ordered = ordered.withColumn("_part", F.shiftright("_mid", _ROW_BITS))
     counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

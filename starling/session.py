@@ -28,6 +28,8 @@ BASE_CONF = {
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # reliable checkpoints (dense numbering) are removed once their frames are gone
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
