@@ -515,6 +515,17 @@ SELECT payment_id, policy_id, customer_id,
 FROM (SELECT p.*, md5(concat_ws('|', 'oltp_payment', p.policy_id, CAST(n AS VARCHAR))) AS payment_id
       FROM (SELECT *, unnest(generate_series(1, 1 + {h32('children', 'policy_id')} % 6)) AS n FROM policies) p)""")
 
+Q["sales_records"] = with_ctes(["policies", "agents"], f"""
+SELECT md5(concat_ws('|', 'oltp_sale', p.policy_id)) AS sale_id, p.policy_id, p.customer_id, a.agent_id,
+       {AS_OF} AS sale_date, CAST(r.rate AS DOUBLE) AS commission_rate,
+       CAST(ROUND(p.premium * r.rate, 2) AS DOUBLE) AS commission_amount, CAST(p.premium AS DOUBLE) AS premium_amount
+FROM policies p
+JOIN (SELECT p2.policy_id, CAST(CAST(5 + {h32('sale_rate', 'p2.policy_id')} % 11 AS DECIMAL(5,0)) * 0.01 AS DECIMAL(5,4)) AS rate
+      FROM policies p2) r ON r.policy_id = p.policy_id
+LEFT JOIN (SELECT agent_id, row_number() OVER (ORDER BY agent_id) - 1 AS slot
+           FROM (SELECT DISTINCT agent_id FROM agents)) a
+       ON a.slot = {h32('sale_agent', 'p.policy_id')} % NULLIF((SELECT count(DISTINCT agent_id) FROM agents), 0)""")
+
 Q["period_labels"] = with_ctes(["fact_sales", "dates_window"], """
 SELECT d.year, d.month, d.month_name, CAST(ROUND(SUM(fs.premium_amount), 2) AS DOUBLE) AS premium,
        CAST(ROUND(SUM(fs.commission_rate * fs.premium_amount), 2) AS DOUBLE) AS commission,

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starling.functions.hashing import below, hash32
+from starling.functions.hashing import below, hash32, stable_id
 from starling.operators.expand import child_rows
-from starling.operators.keys import only_new_rows
+from starling.operators.keys import assign_partner, only_new_rows
 from starling.plans import facts
 from starling.plans.star import Star
 
@@ -66,6 +66,24 @@ def child_expansion(star: Star) -> DataFrame:
                      F.col("amount").cast("double").alias("amount"), "payment_method", "status")
 
 
+SALE_RATE_PCT = (5, 15)  # OLTP sales: commission rate 0.05 .. 0.15 on a 0.01 grid
+
+
+def sales_records(star: Star) -> DataFrame:
+    """OLTP sales rows: one sale per policy, an agent drawn from all agents by
+    key hash, a 2-decimal commission rate and commission = round(premium * rate, 2)."""
+    lo, hi = SALE_RATE_PCT
+    rate = ((F.lit(lo) + F.pmod(hash32("sale_rate", "policy_id"), F.lit(hi - lo + 1))).cast("decimal(5,0)")
+            / F.lit(100).cast("decimal(3,0)")).cast("decimal(5,4)")
+    p = assign_partner(star.policies, star.agents, "agent_id", "policy_id", "sale_agent", "agent_id",
+                       star.params.broadcast_max_rows)
+    return p.select(
+        stable_id("oltp_sale", "policy_id").alias("sale_id"), "policy_id", "customer_id", "agent_id",
+        F.lit(star.params.as_of).alias("sale_date"), rate.cast("double").alias("commission_rate"),
+        F.round(F.col("premium") * rate, 2).cast("decimal(12,2)").cast("double").alias("commission_amount"),
+        F.col("premium").cast("double").alias("premium_amount"))
+
+
 def installment_schedule(star: Star) -> DataFrame:
     """ARR-1: the due-date series of every policy (before payment attributes)."""
     from starling.operators.expand import installment_schedule as sched

@@ -92,6 +92,7 @@ STAR_QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "hash_assigned_agent": K.hash_assigned_agent,
     "sampled_rows": K.sampled_rows,
     "child_expansion": K.child_expansion,
+    "sales_records": K.sales_records,
     # chart frames (Q-23)
     "period_labels": CH.period_labels,
     "collections_chart": CH.collections_chart,
@@ -158,8 +159,13 @@ def run(spark: SparkSession, sf_dir: str, name: str, params: RunParams | None =
         df = STAR_QUERIES[name](Star.from_sf_dir(spark, sf_dir, params))
     if not ordered or name not in ORDER_BY:
         return df
-    return df.orderBy(*[F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc()
-                        for c in ORDER_BY[name]])
+    return df.orderBy(*order_columns(name))
+
+
+def order_columns(name: str) -> list:
+    """The reference's presentation ORDER BY of a query as Columns (empty if none)."""
+    return [F.col(c[1:]).desc_nulls_first() if c.startswith("-") else F.col(c).asc()
+            for c in ORDER_BY.get(name, [])]
 
 
 def callables(params: RunParams | None = None) -> dict[str, Callable[[SparkSession, str], DataFrame]]:
