@@ -75,6 +75,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on this cluster")
         # local runs / tests only: the cluster names a shared folder itself
         configured = tempfile.mkdtemp(prefix="starling-ckpt-", dir=os.environ.get("STARLING_SCRATCH", "/tmp"))
     sc.setCheckpointDir(configured)
