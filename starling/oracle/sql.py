@@ -549,6 +549,13 @@ SELECT policy_type, cnt AS count, CAST(ROUND(p, 2) AS DOUBLE) AS total_premium,
        CAST(CAST({rdiv('p * 1000', 'SUM(p) OVER ()')} AS DECIMAL(38,0)) * 0.1 AS DOUBLE) AS premium_share_pct
 FROM (SELECT policy_type, COUNT(*) AS cnt, SUM(premium_amount) AS p FROM fact_sales GROUP BY policy_type) t""")
 
+Q["payment_share"] = with_ctes(["fact_payments"], f"""
+SELECT payment_method, payments, CAST(t AS DOUBLE) AS total_collected,
+       CAST(CAST({rdiv('t * 100000', 'SUM(t) OVER () * 100')} AS DECIMAL(38,0)) * 0.1 AS DOUBLE) AS share_pct,
+       CAST(SUM(t) OVER () AS DOUBLE) AS grand_total
+FROM (SELECT payment_method, COUNT(*) AS payments, SUM(payment_amount) AS t
+      FROM fact_payments WHERE payment_status = 'Completed' GROUP BY payment_method) x""")
+
 Q["loss_ratio_tier"] = with_ctes(["fact_sales", "fact_claims", "dim_policy_type"], f"""
 SELECT policy_type, loss_ratio_pct,
        CASE WHEN loss_ratio_pct > 100 THEN 'danger' WHEN loss_ratio_pct > 70 THEN 'warning' ELSE 'success' END AS tier

@@ -39,6 +39,16 @@ def premium_share(star: Star) -> DataFrame:
                     as_double(ratio_pct(F.col("_p"), p_total, 1)).alias("premium_share_pct"))
 
 
+def payment_share(star: Star) -> DataFrame:
+    """Payment-method donut: completed amount per method, its share and the centre total."""
+    g = star.fact_payments.where(F.col("payment_status") == "Completed").groupBy("payment_method").agg(
+        F.count(F.lit(1)).alias("payments"), F.sum("payment_amount").alias("_t"))
+    total = g.select(F.sum("_t")).scalar()
+    return g.select("payment_method", "payments", as_double(F.round("_t", 2)).alias("total_collected"),
+                    as_double(ratio_pct(F.col("_t"), total, 1)).alias("share_pct"),
+                    as_double(F.round(total, 2)).alias("grand_total"))
+
+
 def loss_ratio_tier(star: Star) -> DataFrame:
     """Loss ratio bars coloured by tier (>100 danger, >70 warning, else success)."""
     lr = analytics.loss_ratio_as_written(star)

@@ -97,6 +97,7 @@ STAR_QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "period_labels": CH.period_labels,
     "collections_chart": CH.collections_chart,
     "premium_share": CH.premium_share,
+    "payment_share": CH.payment_share,
     "loss_ratio_tier": CH.loss_ratio_tier,
     "money_labels": CH.money_labels,
 }
@@ -138,6 +139,7 @@ ORDER_BY = {
     "collections_chart": ["year", "month"],
     "county_premium": ["-total_premium"], "money_labels": ["-total_premium"],
     "policy_type_dist": ["-count"], "premium_share": ["-count"],
+    "payment_share": ["-total_collected"],
     "claims_status": ["-claims"], "claims_totals_by_status": ["-claims"], "v_claims_summary": ["-claims"],
     "loss_ratio_as_written": ["-loss_ratio_pct"], "loss_ratio_corrected": ["-loss_ratio_pct"],
     "loss_ratio_tier": ["-loss_ratio_pct"],
