@@ -22,11 +22,17 @@ from starling.schemas import FACT_CLAIMS, FACT_PAYMENTS, FACT_SALES, MONEY, RATE
 COMMISSION_BP = (500, 1500)  # commission rate 0.0500 .. 0.1500 in basis points of 1/10000
 
 
-def customer_county_ids(dim_customer: DataFrame, dim_county: DataFrame, params: RunParams) -> DataFrame:
-    """(customer_id, county, county_id): customer -> county name -> county id."""
-    counties = checked_broadcast(dim_county.select(F.col("county_name").alias("county"), "county_id"),
+def with_county_id(df: DataFrame, dim_customer: DataFrame, dim_county: DataFrame, params: RunParams) -> DataFrame:
+    """Add county_id: row -> customer (county name) -> county id, two left lookups.
+
+    The customer lookup is joined on its own (a plain scan of the stored
+    dimension carries its true size, so Spark's size check can broadcast it or
+    fall back to a shuffle join); the county list is a checked broadcast.
+    """
+    counties = checked_broadcast(dim_county.select(F.col("county_name").alias("_county"), "county_id"),
                                  params.broadcast_max_rows)
-    return dim_customer.select("customer_id", "county").join(counties, "county", "left")
+    cust = dim_customer.select("customer_id", F.col("county").alias("_county"))
+    return df.join(cust, "customer_id", "left").join(counties, "_county", "left").drop("_county")
 
 
 def commission_rate(key: str) -> F.Column:
@@ -37,8 +43,7 @@ def commission_rate(key: str) -> F.Column:
 
 def fact_sales(policies: DataFrame, dim_customer: DataFrame, dim_policy_type: DataFrame,
                dim_county: DataFrame, dim_agent: DataFrame, params: RunParams) -> DataFrame:
-    cust = customer_county_ids(dim_customer, dim_county, params).drop("county")
-    df = policies.join(cust, "customer_id", "left")
+    df = with_county_id(policies, dim_customer, dim_county, params)
     types = checked_broadcast(dim_policy_type.select("policy_type", "policy_type_id"), params.broadcast_max_rows)
     df = df.join(types, "policy_type", "left")
     active = dim_agent.where(F.col("is_active"))
@@ -55,8 +60,7 @@ def fact_claims_joined(claims: DataFrame, dim_customer: DataFrame, dim_county: D
                        policies: DataFrame, dim_policy_type: DataFrame, dim_claim_status: DataFrame,
                        params: RunParams) -> DataFrame:
     """Claims with every lookup attached (before projection); misses are null ids."""
-    cust = customer_county_ids(dim_customer, dim_county, params).drop("county")
-    df = claims.join(cust, "customer_id", "left")
+    df = with_county_id(claims, dim_customer, dim_county, params)
     df = df.join(policies.select("policy_id", "policy_type"), "policy_id", "left")
     types = checked_broadcast(dim_policy_type.select("policy_type", "policy_type_id"), params.broadcast_max_rows)
     df = df.join(types, "policy_type", "left")
@@ -81,9 +85,8 @@ def fact_claims(claims: DataFrame, dim_customer: DataFrame, dim_county: DataFram
 def payment_rows(policies: DataFrame, dim_customer: DataFrame, dim_county: DataFrame,
                  dim_policy_type: DataFrame, params: RunParams) -> DataFrame:
     """All generated installments (before the calendar check)."""
-    cust = customer_county_ids(dim_customer, dim_county, params).drop("county")
     types = checked_broadcast(dim_policy_type.select("policy_type", "policy_type_id"), params.broadcast_max_rows)
-    base = policies.join(cust, "customer_id", "left").join(types, "policy_type", "left")
+    base = with_county_id(policies, dim_customer, dim_county, params).join(types, "policy_type", "left")
     # The schedule multiplies rows ~20x.  AQE sizes the join output by its
     # pre-expansion bytes, which would leave the expansion to a few tasks;
     # a fixed-count repartition of the (small) policy side spreads it.
