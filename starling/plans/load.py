@@ -90,14 +90,14 @@ class Warehouse:
     def append_fact(self, name: str, batch: DataFrame) -> None:
         """Append partitioned by month of date_key.
 
-        Range-repartitioning on (date_key, key) gives each task a contiguous
-        slice of dates -- so it writes few partition directories -- and splits
-        a hot date over several tasks (the key is the secondary range column);
-        AQE sizes the partitions.
+        The REBALANCE hint hashes rows on the month, so each task writes one
+        partition directory, and lets AQE size the output at runtime: small
+        months are coalesced and an oversized (hot) month is split over several
+        tasks/files.  Unlike a range repartition it needs no sampling pass, so
+        the batch is computed once.
         """
-        key = FACT_KEYS[name]
         out = batch.withColumn(PARTITION_COL, F.trunc("date_key", "MM"))
-        out = out.repartitionByRange("date_key", key)
+        out = out.hint("rebalance", PARTITION_COL)
         out.write.mode("append").partitionBy(PARTITION_COL).parquet(self.path(name))
 
 
