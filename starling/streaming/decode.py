@@ -33,10 +33,15 @@ _CORRUPT = "_corrupt_record"
 _PARSE_SCHEMA = T.StructType(EVENT_MESSAGE.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
 
 
-def parse(df: DataFrame) -> DataFrame:
-    """Add ``msg`` (parsed struct) and ``malformed`` (value is not a JSON object)."""
+def parse(df: DataFrame, failfast: bool = False) -> DataFrame:
+    """Add ``msg`` (parsed struct) and ``malformed`` (value is not a JSON object).
+
+    ``failfast=True`` makes a malformed message fail the batch instead (the
+    original consumers stopped on one); the default quarantines it.
+    """
     v = F.col("value").cast("string")
-    msg = F.from_json(v, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    opts = {"mode": "FAILFAST"} if failfast else {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    msg = F.from_json(v, _PARSE_SCHEMA, opts)
     # Parse once: a generator output is a barrier for predicate pushdown, so the
     # filters downstream (malformed, known types) cannot re-inline from_json below it.
     out = df.withColumn("msg", F.explode(F.array(msg)))
@@ -84,8 +89,9 @@ def decode_lenient(parsed: DataFrame, ingest_ts: Column | None = None) -> DataFr
     return conform(out, EVENT_LOG_LENIENT)
 
 
-def decode(df: DataFrame, policy: str = "strict", ingest_ts: Column | None = None) -> DataFrame:
-    parsed = parse(df)
+def decode(df: DataFrame, policy: str = "strict", ingest_ts: Column | None = None,
+           failfast: bool = False) -> DataFrame:
+    parsed = parse(df, failfast)
     if policy == "strict":
         return decode_strict(parsed, ingest_ts)
     if policy == "lenient":

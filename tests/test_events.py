@@ -55,6 +55,14 @@ def test_malformed_is_quarantined(spark):
     assert [r["raw_value"] for r in q] == ["not json"]
 
 
+def test_failfast_mode_raises_on_malformed(spark):
+    import pytest
+    with pytest.raises(Exception):
+        D.decode(_feed(spark, MSGS), "strict", failfast=True).collect()
+    ok = D.decode(_feed(spark, MSGS[:2]), "strict", failfast=True).count()
+    assert ok == 2
+
+
 def test_event_totals_on_feed(spark):
     feed = testbed.event_feed(spark, SF_SMALL)
     totals = {r["event_type"]: r["events"] for r in D.event_totals(D.decode(feed, "strict")).collect()}
