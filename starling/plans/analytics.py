@@ -215,20 +215,28 @@ def collections_corrected(star: Star) -> DataFrame:
         as_double(F.round(F.sum("c_sum"), 2)).alias("collected"))
 
 
+def metric_row(name: str, df: DataFrame, expr) -> DataFrame:
+    """One (metric, value-as-text) row from one aggregate over ``df``."""
+    return df.agg(expr.cast("string").alias("value")).select(F.lit(name).alias("metric"), "value")
+
+
+def union_all(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def summary_stats(star: Star) -> DataFrame:
     """Q-11: 5 platform metrics as (metric, text) -- one aggregate per table, stacked."""
-    spark = star.spark
-    counts = [
-        star.customers.agg(F.count(F.lit(1)).cast("string").alias("v")).select(F.lit("Total Customers").alias("metric"), F.col("v").alias("value")),
-        star.policies.agg(F.count(F.lit(1)).cast("string").alias("v")).select(F.lit("Total Policies").alias("metric"), F.col("v").alias("value")),
-        star.claims.agg(F.count(F.lit(1)).cast("string").alias("v")).select(F.lit("Total Claims").alias("metric"), F.col("v").alias("value")),
-        star.fact_sales.agg(round_sum("premium_amount").cast("string").alias("v")).select(F.lit("Gross Premium (KES)").alias("metric"), F.col("v").alias("value")),
-        star.fact_payments.where(F.col("payment_status") == "Completed").agg(round_sum("payment_amount").cast("string").alias("v")).select(F.lit("Total Collected (KES)").alias("metric"), F.col("v").alias("value")),
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    completed = star.fact_payments.where(F.col("payment_status") == "Completed")
+    return union_all([
+        metric_row("Total Customers", star.customers, F.count(F.lit(1))),
+        metric_row("Total Policies", star.policies, F.count(F.lit(1))),
+        metric_row("Total Claims", star.claims, F.count(F.lit(1))),
+        metric_row("Gross Premium (KES)", star.fact_sales, round_sum("premium_amount")),
+        metric_row("Total Collected (KES)", completed, round_sum("payment_amount")),
+    ])
 
 
 def late_by_policy_type(star: Star) -> DataFrame:

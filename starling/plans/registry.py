@@ -105,10 +105,8 @@ STAR_QUERIES: dict[str, Callable[[Star], DataFrame]] = {
 
 def _events(policy: str):
     def q(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
-        feed = testbed.event_feed(spark, sf_dir)
-        return D.decode(feed, policy, ingest_ts=F.lit(params.load_ts).cast("timestamp")).select(
-            *[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
-              for c in D.decode(feed, policy).columns])
+        log = D.decode(testbed.event_feed(spark, sf_dir), policy, ingest_ts=F.lit(params.load_ts).cast("timestamp"))
+        return log.withColumn("amount", F.col("amount").cast("double"))
     return q
 
 

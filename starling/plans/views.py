@@ -60,9 +60,8 @@ def v_monthly_trends(star: Star) -> DataFrame:
 
 def v_summary_stats(star: Star) -> DataFrame:
     """Q-20: 7 metrics as text; money rounded to whole units; collected has no status filter."""
-    def metric(name, df, expr):
-        return df.agg(expr.cast("string").alias("value")).select(F.lit(name).alias("metric"), "value")
-    parts = [
+    metric = analytics.metric_row
+    return analytics.union_all([
         metric("Total Customers", star.dim_customer, F.count(F.lit(1))),
         metric("Total Policies", star.fact_sales, F.count(F.lit(1))),
         metric("Total Claims", star.fact_claims, F.count(F.lit(1))),
@@ -70,11 +69,7 @@ def v_summary_stats(star: Star) -> DataFrame:
         metric("Total Premium", star.fact_sales, F.round(F.sum("premium_amount"), 0)),
         metric("Total Claimed", star.fact_claims, F.round(F.sum("claim_amount"), 0)),
         metric("Total Collected", star.fact_payments, F.round(F.sum("payment_amount"), 0)),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ])
 
 
 DIMENSIONS = ["dim_date", "dim_customer", "dim_policy_type", "dim_county", "dim_agent", "dim_claim_status"]
@@ -82,12 +77,9 @@ DIMENSIONS = ["dim_date", "dim_customer", "dim_policy_type", "dim_county", "dim_
 
 def dim_row_counts(star: Star) -> DataFrame:
     """Q-21: row count per dimension table (one aggregate per table)."""
-    parts = [star.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-             for n in DIMENSIONS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return analytics.union_all([
+        star.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+        for n in DIMENSIONS])
 
 
 VIEWS = {
