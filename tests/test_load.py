@@ -29,6 +29,14 @@ def test_full_load_is_idempotent_and_matches_lazy_star(spark):
         assert stored.table(name).count() == lazy.table(name).count(), name
     assert rows(A.county_premium(stored)) == rows(A.county_premium(lazy))
     assert rows(A.collections_as_written(stored)) == rows(A.collections_as_written(lazy))
+    # the view set (PIP-12/13) is queryable with SQL over the stored tables
+    from starling.plans import views
+    names = views.register_views(stored)
+    assert spark.sql("SELECT COUNT(*) AS n FROM v_summary_stats").first()["n"] == 7
+    assert spark.sql("SELECT COUNT(*) AS n FROM summary_stats").first()["n"] == 5
+    late = spark.sql("SELECT SUM(late_payments + on_time_payments) AS n FROM v_late_payments").first()["n"]
+    assert late == stored.fact_payments.where("policy_type_id IS NOT NULL AND is_late IS NOT NULL").count()
+    assert set(names) >= {"v_premium_by_policy_type", "v_claims_summary", "v_payment_methods", "v_monthly_trends"}
 
 
 def test_incremental_load_appends_only_new_rows(spark):
