@@ -37,7 +37,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     scratch = tempfile.mkdtemp(prefix="starling-bench-", dir=os.environ.get("BENCH_SCRATCH", "/tmp"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
                           conf={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g"),
                                 "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)})
     params = RunParams()
