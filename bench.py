@@ -28,7 +28,8 @@ SKIP = {"dim_date", "dim_policy_type", "dim_county", "dim_customer", "dim_agent"
         "fact_payments", "rows_with_valid_date", "hash_assigned_agent", "installment_schedule", "child_expansion",
         "dropped_dates", "new_rows_only", "sampled_rows"}
 # full-size outputs: run to completion with a no-op sink instead of collecting
-LARGE = {"installment_schedule", "child_expansion", "events_lenient", "events_strict", "sampled_rows"}
+LARGE = {"installment_schedule", "child_expansion", "events_lenient", "events_strict", "sampled_rows",
+         "sales_records"}
 
 
 def main() -> None:
