@@ -1,10 +1,10 @@
 """Writers: append, partitioned append, timestamped snapshot, create-if-absent,
 schema-checked mirror append, views.
 
-Partitioned writes repartition on (partition key, salt) before
-``partitionBy``: each date's rows are spread over ``files_per_key`` tasks, so
-a hot date (a third of the rows) does not become one task or one huge file,
-and small dates do not explode into one file per task.
+Partitioned writes use the REBALANCE hint on the partition column before
+``partitionBy``: each task writes one partition directory (small partitions
+are coalesced, so no explosion of tiny files), and AQE splits an oversized
+partition -- a hot date holding a third of the rows -- over several tasks.
 """
 
 from __future__ import annotations
@@ -30,15 +30,11 @@ def write_snapshot(df: DataFrame, lake_root: str, prefix: str, ts: _dt.datetime)
     return path
 
 
-def append(df: DataFrame, path: str, partition_by: str | None = None, files_per_key: int = 4,
-           salt_key: str | None = None) -> None:
-    w = df
+def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     if partition_by:
-        salt = F.pmod(F.xxhash64(F.col(salt_key or df.columns[0])), F.lit(files_per_key))
-        w = df.repartition(F.col(partition_by), salt)
-        w.write.mode("append").partitionBy(partition_by).parquet(path)
+        df.hint("rebalance", partition_by).write.mode("append").partitionBy(partition_by).parquet(path)
     else:
-        w.write.mode("append").parquet(path)
+        df.write.mode("append").parquet(path)
 
 
 def append_if_any(df: DataFrame, path: str, **kw) -> bool:
@@ -72,11 +68,11 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
     return True
 
 
-def materialize(df: DataFrame, path: str, partition_by: str | None = None, files_per_key: int = 4) -> DataFrame:
+def materialize(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Write once, read back: later sinks and queries see one fixed batch (cuts lineage)."""
     spark = df.sparkSession
     if partition_by:
-        append(df, path, partition_by=partition_by, files_per_key=files_per_key)
+        append(df, path, partition_by=partition_by)
     else:
         df.write.mode("overwrite").parquet(path)
     return read_parquet(spark, path)

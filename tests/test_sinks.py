@@ -54,7 +54,7 @@ def test_partitioned_append_and_create_if_absent(spark):
     assert not W.create_if_absent(spark, path, DIM_POLICY_TYPE)
     df = spark.range(0, 100).select((F.col("id") % 3).cast("int").alias("k"), F.col("id"))
     out = os.path.join(root, "parts")
-    W.append(df, out, partition_by="k", files_per_key=2, salt_key="id")
+    W.append(df, out, partition_by="k")
     assert sorted(d for d in os.listdir(out) if d.startswith("k=")) == ["k=0", "k=1", "k=2"]
     assert spark.read.parquet(out).count() == 100
 
