@@ -31,7 +31,7 @@ from starling.params import RunParams
 from starling.plans import checks, dims
 from starling.plans.star import Star
 from starling.schemas import STAR, conform
-from starling.sinks.writers import write_snapshot
+from starling.sinks.writers import append, write_snapshot
 from starling.session import checkpoint_dir
 from starling.sources.files import path_exists, read_parquet, require_rows
 
@@ -96,9 +96,7 @@ class Warehouse:
         tasks/files.  Unlike a range repartition it needs no sampling pass, so
         the batch is computed once.
         """
-        out = batch.withColumn(PARTITION_COL, F.trunc("date_key", "MM"))
-        out = out.hint("rebalance", PARTITION_COL)
-        out.write.mode("append").partitionBy(PARTITION_COL).parquet(self.path(name))
+        append(batch.withColumn(PARTITION_COL, F.trunc("date_key", "MM")), self.path(name), partition_by=PARTITION_COL)
 
 
 def _concurrently(report: dict, names: list[str], step, workers: int) -> None:
