@@ -96,10 +96,16 @@ def claims_status(star: Star) -> DataFrame:
         as_double(F.round(F.sum("_approved"), 2)).alias("total_approved"))
 
 
+def _risk_level(star: Star):
+    """Optional pass-through: the dimension's ``risk_level`` if a deployment has one, else null."""
+    cols = star.dim_policy_type.columns
+    return F.col("risk_level") if "risk_level" in cols else F.lit(None).cast("string").alias("risk_level")
+
+
 def _loss_inputs(star: Star) -> DataFrame:
     sales = per_key(star.fact_sales, "policy_type_id", "premium_amount", "p")
     claims = per_key(star.fact_claims, "policy_type_id", "approved_amount", "a")
-    base = star.dim_policy_type.select("policy_type_id", "policy_type")
+    base = star.dim_policy_type.select("policy_type_id", "policy_type", _risk_level(star))
     return fanout_join(base, "policy_type_id", sales, claims, "p", "a")
 
 
@@ -107,21 +113,23 @@ def loss_ratio_as_written(star: Star) -> DataFrame:
     """Q-5 literal: dim LEFT JOIN sales LEFT JOIN claims multiplies rows per type.
 
     Computed from per-type aggregates (never materialising the product).
-    ``risk_level`` is selected by the reference but no load creates it: null.
+    ``risk_level`` is selected by the reference but no load creates it: passed
+    through from the dimension when present, else null.
     """
-    j = _loss_inputs(star).groupBy("policy_type").agg(
+    j = _loss_inputs(star).groupBy("policy_type", "risk_level").agg(
         F.sum("p_fanout").alias("_p"), F.sum("a_fanout").alias("_a"))
     return j.select(
-        "policy_type", F.lit(None).cast("string").alias("risk_level"),
+        "policy_type", "risk_level",
         as_double(F.round("_p", 2)).alias("total_premium"), as_double(F.round("_a", 2)).alias("total_approved"),
         as_double(ratio_pct(F.col("_a"), F.col("_p"), 2)).alias("loss_ratio_pct"))
 
 
 def loss_ratio_corrected(star: Star) -> DataFrame:
     """Q-5 corrected: approved / premium per type without the fan-out."""
-    j = _loss_inputs(star).groupBy("policy_type").agg(F.sum("p_sum").alias("_p"), F.sum("a_sum").alias("_a"))
+    j = _loss_inputs(star).groupBy("policy_type", "risk_level").agg(
+        F.sum("p_sum").alias("_p"), F.sum("a_sum").alias("_a"))
     return j.select(
-        "policy_type", F.lit(None).cast("string").alias("risk_level"),
+        "policy_type", "risk_level",
         as_double(F.round("_p", 2)).alias("total_premium"), as_double(F.round("_a", 2)).alias("total_approved"),
         as_double(ratio_pct(F.col("_a"), F.col("_p"), 2)).alias("loss_ratio_pct"))
 

@@ -45,6 +45,17 @@ def test_loss_ratio_fanout_and_null_type(spark):
     assert tiers["Y"] == "success"
 
 
+def test_risk_level_passes_through_when_present(spark):
+    s = _star(spark, dim_policy_type=[(1, "X")], fact_sales=[_sale("s1", "c1", 1, "10")],
+              fact_claims=[_claim("k1", 1, "5")])
+    dims = dict(s._given)
+    dims["dim_policy_type"] = spark.createDataFrame([(1, "X", "high")], "policy_type_id int, policy_type string, risk_level string")
+    s2 = Star.from_tables(spark, dims, RunParams())
+    r = A.loss_ratio_as_written(s2).first()
+    assert (r["policy_type"], r["risk_level"], r["loss_ratio_pct"]) == ("X", "high", 50.0)
+    assert A.loss_ratio_corrected(s).first()["risk_level"] is None
+
+
 def test_age_band_counts_joined_rows(spark):
     cust = [("c1", "A", 30, "26-35", "M", "X", "Other", D, "Loyal", None),
             ("c2", "B", 31, "26-35", "F", "X", "Other", D, "Loyal", None)]
