@@ -36,16 +36,20 @@ def start_event_log(source: DataFrame, sink_path: str, checkpoint: str, policy:
                     quarantine_path: str | None = None) -> list[StreamingQuery]:
     """Start the log query (and the quarantine query); partitioned by ingest date."""
     log = decode(source, policy).withColumn("ingest_date", F.to_date("ingested_at"))
-    queries = [_start(log, sink_path, f"{checkpoint}/log", available_now, processing_time, "ingest_date")]
+    queries = [_start(log, sink_path, f"{checkpoint}/log", available_now, processing_time, "ingest_date",
+                      f"event_log_{policy}")]
     if quarantine_path:
         bad = quarantine(source)
-        queries.append(_start(bad, quarantine_path, f"{checkpoint}/quarantine", available_now, processing_time, None))
+        queries.append(_start(bad, quarantine_path, f"{checkpoint}/quarantine", available_now, processing_time,
+                              None, "event_quarantine"))
     return queries
 
 
 def _start(df: DataFrame, path: str, ckpt: str, available_now: bool, processing_time: str | None,
-           partition_by: str | None) -> StreamingQuery:
+           partition_by: str | None, name: str | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", ckpt).outputMode("append")
+    if name:
+        w = w.queryName(name)
     if partition_by:
         w = w.partitionBy(partition_by)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "10 seconds")
