@@ -13,7 +13,10 @@ Every step is re-runnable: dimensions and facts append only keys not yet
 stored (left anti join on the key), and every generated value is a hash of
 the business key, so a second run with the same inputs appends nothing.
 The batch that is counted, snapshotted and appended is one materialised
-staging write, never a lazy plan re-evaluated per sink.
+staging write, never a lazy plan re-evaluated per sink (an initial load
+without a snapshot appends its single build directly and counts the files).
+Dimensions are built concurrently, then the three facts, as independent
+Spark jobs from driver threads.
 """
 
 from __future__ import annotations
