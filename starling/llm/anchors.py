@@ -41,6 +41,8 @@ REDACTED = ("email", "ip", "card", "phone", "account")
 CUES = ("iban", "account", "acct", "konto", "kontonummer", "compte", "cuenta", "passport", "ssn", "token",
         "api_key", "apikey", "secret")
 
+LONGEST_URL = 4096
+
 DIGITS = frozenset("0123456789")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
@@ -50,7 +52,7 @@ GROUPED = re.compile(r"[0-9](?:[ -]?[0-9])*")
 DIALLED = re.compile(r"[ ().0-9-]*")
 REST = re.compile(r"[^\s<>\"'`{}|\\^]+")
 HOST = re.compile(r"(?:[^/?#@]*@)?([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*)(:[0-9]+)?")
-IDENTIFIER = re.compile(r"(?:[ _-]?(?:no|nr|number|id)\b\.?)?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9](?:[ -]?[A-Za-z0-9])*)")
+IDENTIFIER = re.compile(r"(?:[ _-]?(?:no|nr|number|id)\b\.?)?[ \t]*[:=#]?[ \t]*[\"']?([A-Za-z0-9])")
 # an IBAN in print: country, check digits, then groups of four
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 PLAIN_ID = re.compile(r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*")
@@ -130,7 +132,7 @@ def parse_url(text: str, at: int, floor: int) -> tuple[int, int] | None:
         start -= 1
     while start < at and not (text[start].isascii() and text[start].isalpha()):
         start += 1
-    rest = REST.match(text, at + 3)
+    rest = REST.match(text, at + 3, at + 3 + LONGEST_URL)
     if start == at or not rest:
         return None
     end = rest.end()
@@ -150,7 +152,7 @@ def parse_account(text: str, begin: int, end: int) -> tuple[int, int] | None:
     iban = IBAN.match(text, m.start(1))
     if iban and iban_ok(iban.group()):
         return iban.span()
-    plain = PLAIN_ID.match(text, m.start(1))
+    plain = PLAIN_ID.match(text, m.start(1), m.start(1) + 64)
     size = plain.end() - plain.start()
     digits = sum(c in DIGITS for c in plain.group())
     return plain.span() if 6 <= size <= 40 and digits >= 6 else None
