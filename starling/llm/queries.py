@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import bitplanes, extshuffle, rankarray, thresholds
+from starling.llm import (anchors, bitplanes, brown, chains, extshuffle, graphparts, pivots, rankarray, softmix,
+                          thresholds)
 from starling.llm.common import prepare, scratch, table
 
 
@@ -17,6 +18,21 @@ def op1_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_ids(bitplanes.write_ids(docs, folder), folder)
 
 
+def op2_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram scores of all texts, learned from nine tenths of them."""
+    return brown.score(table(prepare(spark), sf_dir, "documents"))
+
+
+def op3_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of low quality and, given it, of toxicity for every document."""
+    docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    given = labels.select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    chain = chains.train(docs, given, ["low_quality", "toxic"])
+    p = F.col("p")
+    return chains.score(docs, chain).select("doc_id", p[0].alias("p_low_quality"), p[1].alias("p_toxic"),
+                                            (p[0] > 0.5).alias("low_quality"), (p[1] > 0.5).alias("toxic"))
+
+
 def op4_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded and decoded; digests of both."""
     docs = table(prepare(spark), sf_dir, "documents").select("doc_id", "text")
@@ -27,6 +43,27 @@ def op4_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all texts and the groups they link into."""
+    found = pivots.cluster(table(prepare(spark), sf_dir, "documents"), shingle=3, limit=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op6_anchor_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts and a digest of the base spans, and all spans."""
+    found = anchors.detect(table(prepare(spark), sf_dir, "documents"))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*anchors.BASE_KINDS))
+    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}")
+              for k in anchors.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op7_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents shuffled into eight shards."""
     docs = table(prepare(spark), sf_dir, "documents")
@@ -43,5 +80,24 @@ def op8_threshold_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_stop_words", "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_bit_planes, op4_rank_array_bpe, op7_external_shuffle, op8_threshold_rules)}
+def op9_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document rates whose expected domain totals match the target weights."""
+    docs, labels = table(prepare(spark), sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = softmix.fit_domains(docs, softmix.domains_of(labels), softmix.DOMAINS)
+    found = softmix.rates(docs, model, MIX_SHARES)
+    return found.select("doc_id", "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(softmix.DOMAINS)],
+                        "rate", "copies")
+
+
+def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every 20th vector."""
+    rows = table(prepare(spark), sf_dir, "embeddings")
+    return graphparts.search(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
+# target shares of tokens of the domains good, poor and toxic
+MIX_SHARES = [0.90, 0.07, 0.03]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op1_bit_planes, op2_brown_classes, op3_classifier_chain, op4_rank_array_bpe, op5_pivot_simhash, op6_anchor_pii,
+    op7_external_shuffle, op8_threshold_rules, op9_soft_mix, op10_learned_partitions)}
