@@ -1,7 +1,7 @@
 """Toxicity by a classifier chain over categories.
 
 Categories are predicted one after the other.  Each has a linear model (logistic
-regression) over hashed words, scaled by their log-count ratio for the category, plus the
+regression) over hashed words (and two words for the text's shape), scaled by their log-count ratio for the category, plus the
 probabilities of all categories before it.  For training, those probabilities come
 out of fold: a row's are predicted by models that have not seen it, so later models
 learn from the errors that earlier ones make on new texts.
@@ -37,6 +37,7 @@ FOLDS = 4
 STEPS = 40
 LEAST_ROWS = 4         # labelled rows a word must be in
 WORDS = re.compile(r"[^\W\d_]+")
+SYMBOLS = "#*$%&|<>"
 CACHE = 300_000
 
 
@@ -51,7 +52,12 @@ class Hasher:
             return np.empty(0, np.int64)
         if len(self.seen) > CACHE:
             self.seen = {}
-        words = set(WORDS.findall(text.lower()))
+        found = WORDS.findall(text.lower())
+        words = set(found)
+        # two words for the text's shape: share of distinct words, symbols per word
+        n = max(len(found), 1)
+        words.add(f"0distinct{10 * len(words) // n}")
+        words.add(f"0symbols{min(10 * sum(map(text.count, SYMBOLS)) // n, 20)}")
         get, out = self.seen.get, []
         for w in words:
             b = get(w)
