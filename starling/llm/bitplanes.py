@@ -29,6 +29,8 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
+from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from starling.llm.common import TOKENIZER, scratch, slices, stage
+from starling.llm.common import TOKENIZER, chunks_of, cut_tail, scratch, slices, stage
 
 MAGIC = b"STRLBPL1"
 BLOCK = 1 << 16        # ids per chunk
@@ -174,16 +176,19 @@ class LibraryEncoder:
 
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = [t.split() if t else [] for t in texts]
+        split = [chunks_of(t) if t else [] for t in texts]
         needed = set().union(*split)
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        found = {c: self.old[c] for c in needed - self.young.keys() if c in self.old}
-        new = list(needed - self.young.keys() - found.keys())
+        missing = needed - self.young.keys()
+        found = {c: self.old[c] for c in missing if c in self.old}
+        parts = {c: cut_tail(c) for c in missing - found.keys()}
+        new = list({p for both in parts.values() for p in both} - self.young.keys() - found.keys())
         coded = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new],
                                                  add_special_tokens=False)
-        for chunk, e in zip(new, coded):
-            found[chunk] = np.array(e.ids, dtype="<u4").tobytes()
+        found.update((c, array("I", e.ids).tobytes()) for c, e in zip(new, coded))
+        known = ChainMap(found, self.young)
+        found.update([(c, known[body] + known[tail]) for c, (body, tail) in parts.items() if tail])
         long = {c: found.pop(c) for c in [c for c in found if len(c) > LONGEST_CACHED]}
         self.young.update(found)
         if not long:

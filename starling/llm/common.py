@@ -48,6 +48,33 @@ def words_expr(text) -> "F.Column":
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+TAIL = b".,;:!?"
+
+
+def cut_tail(chunk: bytes) -> tuple[bytes, bytes]:
+    """A chunk's letters or digits and the punctuation after them, which tokenizers cut apart.
+
+    The second part is empty where nothing can be cut safely.
+    """
+    body = chunk.rstrip(TAIL)
+    if not body or len(body) == len(chunk):
+        return chunk, b""
+    if body[-1] < 128:
+        safe = chr(body[-1]).isalnum()
+    else:
+        safe = body.decode("utf-8", "replace")[-1].isalpha()
+    return (body, chunk[len(body):]) if safe else (chunk, b"")
+
+
+def chunks_of(text: bytes) -> list[bytes]:
+    """Chunks between white space for a tokenizer that lowers all letters.
+
+    A-Z are lowered first, so that fewer chunks differ, unless the text may hold marks
+    of special tokens, which count as written.
+    """
+    return text.split() if b"<|" in text else text.lower().split()
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that one piece holds at most ``max_bytes`` of a text/binary column (or one row)."""
     start = size = 0

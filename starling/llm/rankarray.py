@@ -23,6 +23,7 @@ import functools
 import heapq
 import json
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from starling.llm.common import TOKENIZER, slices
+from starling.llm.common import TOKENIZER, chunks_of, cut_tail, slices
 
 SHORT = 64
 NO_RANK = 1 << 62
@@ -157,7 +158,11 @@ class RankArrayBPE:
     def _miss(self, chunk: bytes) -> bytes:
         found = self.old.get(chunk)
         if found is None:
-            found = np.array(self.chunk_ids(chunk.decode("utf-8", "replace")), dtype=np.int32).tobytes()
+            body, tail = cut_tail(chunk)
+            if tail:
+                found = (self.young.get(body) or self._miss(body)) + (self.young.get(tail) or self._miss(tail))
+            else:
+                found = array("i", self.chunk_ids(chunk.decode("utf-8", "replace"))).tobytes()
         if len(chunk) <= LONGEST_CACHED:
             if len(self.young) >= CACHE:
                 self.old, self.young = self.young, {}
@@ -168,7 +173,7 @@ class RankArrayBPE:
         """Ids of a whole text as little-endian 32-bit integers."""
         get, miss = self.young.get, self._miss
         out = []
-        for chunk in text.split():
+        for chunk in chunks_of(text):
             found = get(chunk)
             if found is None:
                 found = miss(chunk)
