@@ -47,7 +47,7 @@ from starling.llm.common import TOKENIZER, chunks_of, cut_tail, scratch, slices,
 
 MAGIC = b"STRLBPL1"
 BLOCK = 1 << 16        # ids per chunk
-CACHE = 400_000        # chunks of text per cache generation and worker
+CACHE = 600_000        # chunks of text per cache generation and worker
 LONGEST_CACHED = 64
 NO_DOC = -(1 << 63)    # stands for a null document id in files
 
@@ -86,7 +86,7 @@ class Writer:
         self.chunks: list[list] = []
         self.docs: list[int] = []
         self.counts: list[int] = []
-        self.zstd = zstandard.ZstdCompressor(level=3)
+        self.zstd = zstandard.ZstdCompressor(level=1)
         self.at = len(MAGIC)
         out.write(MAGIC)
 
