@@ -9,6 +9,7 @@ a lost executor costs one stage's tasks at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starling.llm import anchors, pivots, rankarray, softmix, thresholds
 from starling.llm.common import prepare, stage, table
@@ -31,9 +32,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by marks."""
+    """Personal data replaced by marks; the character count follows the text."""
     prepare(spark)
-    return anchors.redact(docs)
+    return anchors.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -130,6 +130,8 @@ def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     passed = F.lit(True)
     for r in rules:
         passed = passed & r.passes()
-    # rules read the struct's fields through a nested projection, so input columns cannot clash
-    verdict = m.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(own)], "_qm.*").where(passed)
+    # rules read the struct's fields through a nested projection, so input columns cannot clash;
+    # its row number keeps the optimizer from copying the measures into each rule below it
+    verdict = m.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(own)], "_qm.*",
+                       F.monotonically_increasing_id().alias("_qm_row")).where(passed & (F.col("_qm_row") >= 0))
     return verdict.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(own)])
