@@ -101,7 +101,10 @@ def measure(df: DataFrame, text: str = "text", out: str = "quality_measures",
         F.coalesce(covered, F.lit(0)).cast("bigint").alias("n_repeat_words"),
         F.size(F.filter(w, lambda x: x.isin(*forms))).cast("bigint").alias("n_stop_words"),
     )
-    return base.select(*[F.col(f"`{c}`") for c in keep], out_struct.alias(out))
+    # the row number, always at hand, keeps the optimizer from copying the measures into
+    # every rule and filter that reads them
+    once = F.when(F.monotonically_increasing_id() >= 0, out_struct)
+    return base.select(*[F.col(f"`{c}`") for c in keep], once.alias(out))
 
 
 def verdicts(df: DataFrame, rules=RULES, base=BASE, measures: str = "quality_measures") -> DataFrame:
@@ -130,8 +133,6 @@ def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     passed = F.lit(True)
     for r in rules:
         passed = passed & r.passes()
-    # rules read the struct's fields through a nested projection, so input columns cannot clash;
-    # its row number keeps the optimizer from copying the measures into each rule below it
-    verdict = m.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(own)], "_qm.*",
-                       F.monotonically_increasing_id().alias("_qm_row")).where(passed & (F.col("_qm_row") >= 0))
+    # rules read the struct's fields through a nested projection, so input columns cannot clash
+    verdict = m.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(own)], "_qm.*").where(passed)
     return verdict.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(own)])
