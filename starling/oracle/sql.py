@@ -609,8 +609,13 @@ Q["event_totals"] = with_ctes(["events_msg"], """
 SELECT event_type, COUNT(*) AS events, CAST(SUM(amount) AS DOUBLE) AS total_value
 FROM events_msg WHERE event_type IN ('new_policy', 'new_claim', 'new_payment') GROUP BY event_type""")
 
-# event_quarantine has no SQL twin: the feed built from the events table holds only
-# well-formed JSON, so the check is rows-only here; malformed input is unit-tested.
+Q["event_quarantine"] = """
+SELECT CASE event_type WHEN 'signup' THEN 'new_policy' WHEN 'error' THEN 'new_claim'
+            WHEN 'purchase' THEN 'new_payment' ELSE event_type END AS key, event_id AS seq,
+       CASE event_id % 97 WHEN 1 THEN 'broken message ' || event_id
+            ELSE '{"event_type": "' || CASE event_type WHEN 'signup' THEN 'new_policy' WHEN 'error' THEN 'new_claim'
+                 WHEN 'purchase' THEN 'new_payment' ELSE event_type END END AS raw_value
+FROM events WHERE event_id % 97 < 2"""
 
 
 def oracle_sql() -> dict[str, str]:

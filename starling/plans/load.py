@@ -66,15 +66,12 @@ class Warehouse:
             cols.append(F.col(PARTITION_COL))
         return df.select(*cols)
 
-    def existing_between(self, name: str, lo, hi) -> DataFrame | None:
-        """Stored fact rows whose month lies in [lo, hi]: partition-pruned, so an
-        incremental run never rescans the table's whole history."""
+    def existing_keys(self, name: str) -> DataFrame | None:
+        """Every stored key of a fact (only that column is read): a stored row may have no
+        date or an older one, so no month range can stand in for the whole table."""
         if not path_exists(self.spark, self.path(name)):
             return None
-        df = read_parquet(self.spark, self.path(name))
-        if lo is not None:  # (no dated rows in the batch: compare against everything)
-            df = df.where(F.col(PARTITION_COL).between(F.trunc(F.lit(lo), "MM"), F.trunc(F.lit(hi), "MM")))
-        return conform(df, STAR[name])
+        return read_parquet(self.spark, self.path(name)).select(FACT_KEYS[name])
 
     def stage(self, name: str, df: DataFrame, run_id: str) -> DataFrame:
         """Write the batch once and read it back: one fixed batch for count, snapshot and append.
@@ -164,11 +161,7 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
         candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
         batch = candidates
         if path_exists(spark, wh.path(name)):
-            # every generated key has a fixed date_key, so a stored duplicate can only
-            # sit in the months this batch touches: prune the target to those months
-            b = candidates.agg(F.min("date_key").alias("lo"), F.max("date_key").alias("hi")).first()
-            existing = wh.existing_between(name, b["lo"], b["hi"])
-            batch = wh.stage(name, only_new_rows(candidates, existing, FACT_KEYS[name]), run_id)
+            batch = wh.stage(name, only_new_rows(candidates, wh.existing_keys(name), FACT_KEYS[name]), run_id)
         n = batch.count()
         if lake_root is not None:
             write_snapshot(batch, lake_root, name, snapshot_ts)

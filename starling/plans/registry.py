@@ -116,7 +116,7 @@ def _event_totals(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFr
 
 
 def _event_quarantine(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
-    return D.quarantine(testbed.event_feed(spark, sf_dir), keep=["key", "seq"])
+    return D.quarantine(testbed.broken_feed(spark, sf_dir), keep=["key", "seq"])
 
 
 FEED_QUERIES = {

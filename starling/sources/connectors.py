@@ -36,11 +36,11 @@ def kafka_stream(spark: SparkSession, brokers: str, topic: str, starting_offsets
     """Kafka topic as a stream of (key, value, topic, partition, offset, timestamp).
 
     ``earliest`` = strict consumer, ``latest`` = lenient consumer.  The
-    checkpoint of the query that reads it replaces the consumer group offsets.
+    checkpoint of the query that reads it replaces the consumer group offsets; offsets
+    that the topic no longer holds fail the query (Spark's default).
     """
     r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
-         .option("subscribe", topic).option("startingOffsets", starting_offsets)
-         .option("failOnDataLoss", "false"))
+         .option("subscribe", topic).option("startingOffsets", starting_offsets))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return r.load()

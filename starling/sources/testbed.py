@@ -142,10 +142,7 @@ def region_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The message topic: (key, value, seq, ts) with flat JSON values per event type."""
-    # a topic is partitioned: spread events by id over the task slots before encoding
-    # (the source file may be one row group, i.e. a single scan task)
-    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = read_driver(spark, sf_dir, "events").repartition(slots, "event_id")
+    e = read_driver(spark, sf_dir, "events")
     k = F.get_json_object("props", "$.k").cast("int")
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     day = F.to_date("ts").cast("string")
@@ -174,6 +171,14 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(key.alias("key"), value.alias("value"), F.col("event_id").alias("seq"), "ts")
 
 
+def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic with messages broken by a rule on the event id: cut-off JSON and plain text."""
+    seq = F.col("seq")
+    value = (F.when(seq % 97 == 0, F.concat(F.lit('{"event_type": "'), F.col("key")))
+             .when(seq % 97 == 1, F.concat(F.lit("broken message "), seq.cast("string"))).otherwise(F.col("value")))
+    return event_feed(spark, sf_dir).withColumn("value", value)
+
+
 def domain(spark: SparkSession, sf_dir: str, params: RunParams) -> dict[str, DataFrame]:
     return {
         "customers": customers(spark, sf_dir, params),

@@ -11,6 +11,8 @@ Quarantined (malformed) messages go to their own sink.  ``ingested_at`` is
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,21 +62,28 @@ def start_event_log_foreach_batch(source: DataFrame, table_path: str, checkpoint
                                   policy: str = "strict") -> StreamingQuery:
     """Stream -> table via foreachBatch, idempotent per micro-batch.
 
-    Each micro-batch is written into its own ``batch_id`` partition with
-    dynamic partition overwrite: a batch replayed after a failure replaces
-    exactly its own earlier output -- no scan of the growing table.
+    Each micro-batch is written into its own partition of the stream's id and the batch's
+    with dynamic partition overwrite: a batch replayed after a failure replaces exactly its
+    own earlier output -- no scan of the growing table.  The stream's id lives in its
+    checkpoint, so another feed or a new checkpoint never meets this one's partitions.
     """
     decoded = decode(source, policy)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        (batch.withColumn("stream_id", F.lit(stream_id(batch.sparkSession, checkpoint)))
+              .withColumn("batch_id", F.lit(batch_id).cast("long"))
               .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy("batch_id").parquet(table_path))
+              .partitionBy("stream_id", "batch_id").parquet(table_path))
 
     return (decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a query's checkpoint from its first start on."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def progress_rows(query: StreamingQuery) -> int:
     """Rows ingested so far by a query (running event counter)."""
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)

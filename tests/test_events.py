@@ -108,6 +108,23 @@ def test_foreach_batch_sink_is_idempotent(spark):
     q.awaitTermination(120)
     assert spark.read.parquet(table).count() == n == testbed.event_feed(spark, SF_SMALL).count()
     # a replayed micro-batch (same id, e.g. after a crash before the commit) replaces its own output
-    replay = ingest.decode(testbed.event_feed(spark, SF_SMALL), "lenient").withColumn("batch_id", F.lit(0).cast("long"))
-    replay.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(table)
+    replay = (ingest.decode(testbed.event_feed(spark, SF_SMALL), "lenient")
+              .withColumn("stream_id", F.lit(ingest.stream_id(spark, ckpt)))
+              .withColumn("batch_id", F.lit(0).cast("long")))
+    (replay.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("stream_id", "batch_id").parquet(table))
     assert spark.read.parquet(table).count() == n
+    # another feed under a new checkpoint starts at batch 0 again and erases nothing
+    other = os.path.join(root, "other")
+    _feed(spark, MSGS[:3]).write.parquet(os.path.join(other, "p1"))
+    q = ingest.start_event_log_foreach_batch(ingest.file_feed(spark, other + "/*"), table, os.path.join(root, "c2"),
+                                             "lenient")
+    q.awaitTermination(120)
+    assert spark.read.parquet(table).count() == n + 3
+
+
+def test_broken_feed_is_quarantined(spark):
+    got = D.quarantine(testbed.broken_feed(spark, SF_SMALL), keep=["seq"]).collect()
+    ids = [r["seq"] for r in got]
+    want = [r[0] for r in testbed.event_feed(spark, SF_SMALL).where("seq % 97 < 2").select("seq").collect()]
+    assert ids and sorted(ids) == sorted(want)

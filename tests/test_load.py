@@ -61,3 +61,25 @@ def test_incremental_load_appends_only_new_rows(spark):
         cols = [c for c in lazy.table(name).columns if c != "created_at"]
         assert stored.table(name).select(cols).exceptAll(lazy.table(name).select(cols)).count() == 0, name
         assert stored.table(name).count() == lazy.table(name).count(), name
+
+
+def test_rerun_with_null_and_corrected_dates_appends_nothing(spark):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    params = RunParams()
+    root = tempfile.mkdtemp(prefix="wh-rerun-")
+    domain = testbed.domain(spark, SF_SMALL, params)
+    some = [r[0] for r in domain["policies"].orderBy("policy_id").limit(2).select("policy_id").collect()]
+
+    def dated(day):
+        p = domain["policies"]
+        moved = F.when(F.col("policy_id") == some[0], F.lit(None).cast("date")).when(
+            F.col("policy_id") == some[1], F.lit(day)).otherwise(F.col("start_date"))
+        return {**domain, "policies": p.withColumn("start_date", moved)}
+
+    first = load.run(spark, dated(dt.date(1999, 3, 4)), root, params, with_checks=False)
+    assert first["appended"]["fact_sales"] == domain["policies"].count()
+    for day in (dt.date(1999, 3, 4), dt.date(2000, 9, 9)):
+        again = load.run(spark, dated(day), root, params, with_checks=False)
+        assert again["appended"]["fact_sales"] == 0 and again["appended"]["fact_claims"] == 0
