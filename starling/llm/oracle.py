@@ -20,11 +20,11 @@ covered AS (
 counts AS (
   SELECT b.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
-         len(list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')))::BIGINT AS n_lines,
+         len(list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')))::BIGINT AS n_lines,
          len(list_distinct(list_filter(string_split(t, chr(10)),
-                                       x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]'))))::BIGINT AS n_kinds,
+                                       lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]'))))::BIGINT AS n_kinds,
          coalesce(c.n, 0)::BIGINT AS n_repeat_words,
-         len(list_filter(w, x -> x IN ({_STOP})))::BIGINT AS n_stop_words
+         len(list_filter(w, lambda x: x IN ({_STOP})))::BIGINT AS n_stop_words
   FROM base b LEFT JOIN covered c ON b.rid = c.rid),
 rules AS (
   SELECT *, n_lines - n_kinds AS n_dup_lines, greatest(n_words, 1)::DOUBLE AS nw FROM counts),
