@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -25,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of the LLM queries: the engine's, and small Arrow batches for long texts."""
     configure(spark)
+    # Python workers import this package too, wherever the driver was started; a cluster whose
+    # executors do not see this folder gets the package with --py-files
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    workers = spark.sparkContext.environment
+    known = [p for p in workers.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        workers["PYTHONPATH"] = os.pathsep.join([*known, root])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     return spark
