@@ -57,12 +57,15 @@ def words_expr(text) -> "F.Column":
 
 
 TAIL = b".,;:!?"
+LATER_SCRIPTS = chr(0x530)   # scripts after Cyrillic
 
 
 def cut_tail(chunk: bytes) -> tuple[bytes, bytes]:
     """A chunk's letters or digits and the punctuation after them, which tokenizers cut apart.
 
-    The second part is empty where nothing can be cut safely.
+    The second part is empty where nothing can be cut safely.  Beyond ASCII that means a
+    Latin, Greek or Cyrillic letter that still ends in a letter once lowered (U+0130 ends
+    in a mark); other scripts' tables differ between Unicode versions.
     """
     body = chunk.rstrip(TAIL)
     if not body or len(body) == len(chunk):
@@ -70,7 +73,8 @@ def cut_tail(chunk: bytes) -> tuple[bytes, bytes]:
     if body[-1] < 128:
         safe = chr(body[-1]).isalnum()
     else:
-        safe = body.decode("utf-8", "replace")[-1].isalpha()
+        letter = body.decode("utf-8", "replace")[-1]
+        safe = letter < LATER_SCRIPTS and letter.isalpha() and letter.lower()[-1].isalpha()
     return (body, chunk[len(body):]) if safe else (chunk, b"")
 
 
@@ -78,9 +82,11 @@ def chunks_of(text: bytes) -> list[bytes]:
     """Chunks between white space for a tokenizer that lowers all letters.
 
     A-Z are lowered first, so that fewer chunks differ, unless the text may hold marks
-    of special tokens, which count as written.
+    of special tokens, which count as written, or combining marks from U+0300 to U+033F
+    (lead byte 0xCC): tokenizers compose before they lower, and J, H, T, W and Y form
+    composed letters with some of these in lower case only.
     """
-    return text.split() if b"<|" in text else text.lower().split()
+    return text.split() if b"<|" in text or b"\xcc" in text else text.lower().split()
 
 
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:

@@ -147,6 +147,20 @@ def test_rank_array_equals_the_library(spark, docs, empty):
     assert bpe.merge_short(list(piece)) == bpe.merge_long(list(piece))
 
 
+def test_marks_and_case_equal_the_library():
+    """Texts whose letters compose, lower or end in marks differently from their lower-case form."""
+    tok = Tokenizer.from_file(TOKENIZER)
+    bpe = rankarray.encoder(open(TOKENIZER, "rb").read())
+    draw = random.Random(5)
+    letters = "aAjJhHtTwWyYiI'S.,;:!?0 9\n_-|<>" + "".join(map(chr, (
+        0x331, 0x338, 0x301, 0x308, 0x30C, 0x30A, 0x307, 0x345, 0xDF, 0xC4, 0x130, 0x131, 0x3A3, 0x3C2, 0x915, 0x93C,
+        0x958, 0x1C5, 0x2B0, 0x4E2D, 0x85, 0xA0, 0x200B)))
+    texts = ["<|startoftext|>J" + chr(0x30C), "abc." + chr(0x308), *(
+        "".join(draw.choices(letters, k=draw.randint(1, 12))) for _ in range(5000))]
+    for text in texts:
+        assert bpe.encode(text) == tok.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def brute_fingerprint(text):
     words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
     grams = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
