@@ -67,7 +67,9 @@ def test_bit_planes_round_trip(spark, docs, empty):
     assert bitplanes.read_ids(bitplanes.write_ids(empty, folder), folder).count() == 0
 
 
-def test_brown_base_and_normalisation(spark, docs, empty):
+@pytest.mark.parametrize("bucket_rows", [brown.BUCKET_ROWS, 40])
+def test_brown_base_and_normalisation(spark, docs, empty, monkeypatch, bucket_rows):
+    monkeypatch.setattr(brown, "BUCKET_ROWS", bucket_rows)   # 40: many buckets
     got = {(r["doc_id"], r["n_tokens"], round(r["base_score"], 6)): r
            for r in brown.score(docs, share=40, k=4, rounds=3).collect()}
     count = collections.Counter()
