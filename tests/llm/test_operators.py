@@ -237,6 +237,11 @@ def test_anchor_spans(spark, docs, empty):
         "IBAN [ACCOUNT], token = \"[ACCOUNT]\""
 
 
+def test_long_url_is_one_span():
+    url = "https://u.example/" + "a" * 5000 + "?to=http://v.example/" + "b" * 9000
+    assert [s for s in anchors.find_spans(f"see {url}, end") if s[2] == "url"] == [(4, 4 + len(url), "url")]
+
+
 def test_external_shuffle_keeps_the_key_law(spark, docs, empty):
     done = extshuffle.write_shards(docs, scratch(spark, "t"), bucket_bytes=2000).collect()
     assert len(done) == docs.count()
