@@ -20,7 +20,8 @@ storage after each round.
 
 Defined results: a null or empty text has fingerprint zero and links like any other;
 repeated rows share their component; a null id never becomes a component's name unless
-all its ids are null; an empty table gives an empty table; extra columns are not read.
+all its ids are null; of each component one row is kept, also where rows share an id or have
+none; an empty table gives an empty table; extra columns are not read, but tell kept rows apart.
 """
 
 from __future__ import annotations
@@ -63,18 +64,19 @@ def fingerprint(text: bytes, shingle: int = 3, chunk: int = 1 << 15) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """One row per input row: the key and ``fp`` (the fingerprint's 64 bits as a long)."""
-    given = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("binary").alias("t"))
-    schema = T.StructType([T.StructField("k", given.schema["k"].dataType), T.StructField("fp", T.LongType())])
+def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, also=()) -> DataFrame:
+    """One row per input row: the key, the columns of ``also`` and ``fp`` (the fingerprint's 64 bits as a long)."""
+    given = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").cast("binary").alias("t"), *also)
+    schema = T.StructType([*[T.StructField(c, given.schema[c].dataType) for c in ("k", *also)],
+                           T.StructField("fp", T.LongType())])
 
     def work(batches):
         for batch in batches:
             for piece in slices(batch, "t"):
                 fps = np.array([fingerprint(t, shingle) if t else 0 for t in piece.column("t").to_pylist()],
                                dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([piece.column("k"), pa.array(fps.view(np.int64))],
-                                                 names=["k", "fp"])
+                yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in ("k", *also)],
+                                                  pa.array(fps.view(np.int64))], names=["k", *also, "fp"])
 
     return given.mapInArrow(work, schema).withColumnRenamed("k", key)
 
@@ -240,22 +242,37 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def rooted(points: DataFrame, limit: int) -> DataFrame:
+    """The points (column ``fp``, others pass through) with their component's smallest one, ``root``."""
+    hung = points.join(components(link_edges(points, limit)).withColumnRenamed("node", "fp"), "fp", "left")
+    return hung.withColumn("root", F.coalesce("root", "fp"))
+
+
 def cluster(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, limit: int = 3) -> DataFrame:
     """One row per input row: key, ``fp`` (long) and ``component_id`` (smallest key reachable)."""
     coded = stage(fingerprints(df, key, text, shingle), "fingerprints")
     points = stage(coded.groupBy("fp").agg(F.min(key).alias("first")), "points")
-    hung = points.join(components(link_edges(points, limit)).withColumnRenamed("node", "fp"), "fp", "left")
-    hung = hung.withColumn("root", F.coalesce("root", "fp"))
+    hung = rooted(points, limit)
     names = hung.groupBy("root").agg(F.min("first").alias("component_id"))
     named = hung.join(names, "root").select("fp", "component_id")
     return coded.join(named, "fp").select(key, "fp", "component_id")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3, limit: int = 3) -> DataFrame:
-    """One row of each component (the smallest key; among equal keys one row), all its columns."""
+    """One row of each component (the smallest key, nulls last, then the smallest hashes), all its columns.
+
+    A row is known by its key and two hashes, of its text and of all its columns: rows that
+    share an id, or have none, stay apart, and only rows equal in everything are one.
+    """
     own = df.columns
-    found = cluster(df, key, text, shingle, limit)
-    chosen = found.where(f"`{key}` <=> component_id").select(F.col(f"`{key}`").alias("_pv_key")).distinct()
-    kept = df.join(chosen, F.col(f"`{key}`").eqNullSafe(F.col("_pv_key"))).drop("_pv_key")
-    # rows that share an id: one stays
-    return kept.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in own])
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    marked = df.withColumns({"_pv_text": F.xxhash64(F.lit("text"), F.col(f"`{text}`")),
+                             "_pv_row": F.xxhash64(F.lit("row"), *hashed)})
+    coded = fingerprints(marked, key, text, shingle, ("_pv_text", "_pv_row"))
+    name = F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("_pv_key"),
+                    F.col("_pv_text").alias("_pv_t"), F.col("_pv_row").alias("_pv_r"))
+    points = stage(coded.groupBy("fp").agg(F.min(name).alias("first")), "points")
+    chosen = rooted(points, limit).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    kept = marked.join(chosen, F.col(f"`{key}`").eqNullSafe(F.col("_pv_key"))
+                       & (F.col("_pv_text") == F.col("_pv_t")) & (F.col("_pv_row") == F.col("_pv_r")))
+    return kept.dropDuplicates([key, "_pv_text", "_pv_row"]).select(*[F.col(f"`{c}`") for c in own])

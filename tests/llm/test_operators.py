@@ -198,6 +198,19 @@ def test_pivot_groups(spark, docs, empty):
     assert pivots.cluster(empty).count() == 0
 
 
+def test_keep_one_tells_rows_with_one_id_apart(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (" ".join(str(rng.randrange(10 ** 6)) for _ in range(40)) for _ in range(5))
+    given = [(None, a, "x"), (None, b, "x"), (None, a, "y"), (None, c, "x"), (7, c, "x"), (1, d, "x"), (1, e, "x"),
+             (1, e, "x"), (2, d, "x")]
+    frame = spark.createDataFrame(given, "doc_id long, text string, k string").repartition(4)
+    kept = [tuple(r) for r in pivots.keep_one(frame).collect()]
+    assert sorted(r[:2] for r in kept if r[0] is not None) == sorted([(7, c), (1, d), (1, e)])
+    assert sorted(r[1] for r in kept if r[0] is None) == sorted([a, b])
+    again = [tuple(r) for r in pivots.keep_one(frame.repartition(1).orderBy(F.desc("k"))).collect()]
+    assert sorted(kept, key=repr) == sorted(again, key=repr)
+
+
 def test_large_group_is_cut_without_loss(monkeypatch):
     monkeypatch.setattr(pivots, "DIRECT", 16)
     rng = random.Random(2)
