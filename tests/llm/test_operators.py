@@ -87,6 +87,28 @@ def test_brown_base_and_normalisation(spark, docs, empty, monkeypatch, bucket_ro
     assert brown.score(empty).count() == 0
 
 
+def test_adjacency_rows_hold_every_neighbour_once(spark, monkeypatch):
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", 40)
+    monkeypatch.setattr(brown, "BUCKET_ROWS", 300)
+    rng = random.Random(4)
+    given = [" ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 30))).encode() for _ in range(120)]
+    words = sorted({w for t in given for w in brown.words_of(t)})[:9]
+    ids = brown.Ids(words)
+    want = collections.Counter()
+    for t in given:
+        own = [ids.end, *(ids[w] for w in brown.words_of(t)), ids.end]
+        want.update(zip(own, own[1:]))
+    total = sum(want.values())
+    frame = spark.createDataFrame([(bytearray(t),) for t in given], "t binary").repartition(3)
+    after, before = {}, {}
+    for r in brown.adjacency(frame, words, total).collect():
+        for name, out in (("after", after), ("before", before)):
+            near, n = brown.unpack(r[name])
+            assert len(near) == len(set(near.tolist()))
+            out |= {(r["w"], i) if name == "after" else (i, r["w"]): c for i, c in zip(near.tolist(), n.tolist())}
+    assert after == before == dict(want)
+
+
 def test_exchange_gain_is_exact():
     rng = np.random.default_rng(0)
     pairs = rng.integers(0, 4, (12, 12)).astype(float)
