@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from starling.llm import anchors, pivots, rankarray, softmix, thresholds
 from starling.llm.common import prepare, stage, table
 
-# target shares of tokens (good, poor, toxic) and of the corpus's tokens in all: over the
-# natural weight, so that documents surely in the good domain keep at least one copy
-SHARES = [0.96, 0.03, 0.01]
+# target shares of tokens, of the domains that the stage's input holds, and of the corpus's
+# tokens in all; only documents toxic at least with the probability CLEARLY may go
+SHARES = {"good": 0.96, "poor": 0.03, "toxic": 0.01}
 BUDGET = 1.25
+CLEARLY = 0.9
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +39,19 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated by rates that bring domain totals to the target weights."""
+    """Documents repeated by rates that bring domain totals close to the target weights.
+
+    Every document that is not clearly toxic has one copy at least, also where that
+    keeps the totals away from the targets.
+    """
     labelled = softmix.domains_of(table(spark, sf_dir, "labels"))
-    model = softmix.fit_domains(docs, labelled, softmix.DOMAINS)
-    return softmix.mix(docs, model, SHARES, BUDGET)
+    model = softmix.fit_words(docs, labelled, softmix.DOMAINS)
+    toxic = model.domains.index("toxic") if "toxic" in model.domains else None
+
+    def floor(p):
+        return F.lit(True) if toxic is None else F.get(p, toxic) < CLEARLY
+
+    return softmix.mix(docs, model, [SHARES[d] for d in model.domains], BUDGET, floor=floor)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,10 @@ so no text is shuffled).  Posteriors: every whole text is cut into words, each w
 its bucket's log weights, one partial aggregate per document; tempered scores become
 probabilities over domains.
 
-Rates: nonnegative document rates x solve  min |sum_d x_d n_d p_d - t|^2  (n: tokens, p:
+A second classifier (``fit_words``) reads only the words whose presence differs clearly between
+the domains of the labelled rows, at most ``MOST_WORDS`` of them; a word counts once per text.
+
+Rates: document rates x, not below a lower bound (0, or 1 where ``floor`` holds), solve  min |sum_d x_d n_d p_d - t|^2  (n: tokens, p:
 posteriors, t: target tokens per domain) by projected gradient steps from x = 1.  In the
 metric that weighs a document by its tokens a step changes x_d by -(p_d . e) / L, where e
 is the residual (one number per domain) and L the largest eigenvalue of
@@ -16,13 +19,15 @@ posteriors table and returns one number per domain; no rates are shuffled or col
 
 Defined results: rows with one id are one document, whose rate each of them gets; a null or
 empty text has no tokens and the prior posteriors; a null id is an id; domains
-without labelled rows or tokens cannot be filled and keep their residual; without labelled rows
-the posteriors are uniform; an empty table gives an empty table.
+without labelled rows or tokens cannot be filled and keep their residual (``fit_words`` leaves
+them out); targets that are not met are logged as a warning with the totals reached; without
+labelled rows the posteriors are uniform; an empty table gives an empty table.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import math
 from dataclasses import dataclass
 
@@ -37,6 +42,12 @@ LABELLED = 5000        # labelled rows that the classifier is fitted on, at most
 TEMPERATURE = 4.0
 MOST_STEPS = 40
 TOLERANCE = 5e-4       # of the target total
+PATIENCE = 5           # steps in which the distance to the targets must fall by a hundredth
+LEAST_DOCS = 10        # labelled rows that hold a word of the second classifier, at least
+LEAST_Z = 3.0          # standard errors by which its log odds differ from zero, at least
+MOST_WORDS = 512
+
+LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -73,22 +84,91 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains, key: str = "doc_i
     return DomainModel(tuple(domains), tuple(prior / prior.sum()), tuple(tuple(np.round(r, 5)) for r in w))
 
 
+@dataclass(frozen=True)
+class WordModel:
+    domains: tuple[str, ...]
+    prior: tuple[float, ...]
+    words: tuple[str, ...]
+    weights: tuple[tuple[float, ...], ...]   # per domain, per word
+
+
+def fit_words(docs: DataFrame, labelled: DataFrame, domains, key: str = "doc_id", text: str = "text",
+              most: int = LABELLED) -> WordModel:
+    """Presence of telling words, from ``labelled`` (key, domain) rows among the documents.
+
+    The model's domains are those of ``domains`` that the documents' labelled rows hold (all
+    of them if there are none).
+    """
+    ids = docs.select(F.col(f"`{key}`").alias("_k")).distinct()
+    chosen = stage(labelled.select(F.col(f"`{key}`").alias("_k"), F.col("domain").alias("_domain"))
+                   .where(F.col("_domain").isin(*domains)).dropDuplicates(["_k"]).join(ids, "_k", "left_semi")
+                   .orderBy(F.xxhash64("_k"), "_k").limit(most), "labelled")
+    # at most ``most`` rows of an id and a name: a proven bound
+    seen = (docs.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t"))
+            .dropDuplicates(["_k"]).join(F.broadcast(chosen), "_k"))
+    held = {r["_domain"]: r["n"] for r in chosen.groupBy("_domain").agg(F.count("*").alias("n")).collect()}
+    own = [d for d in domains if d in held] or list(domains)
+    rows = [float(held.get(d, 0)) for d in own]
+    prior = np.array(rows) + 1.0
+    c = [F.col(f"c{i}") for i in range(len(own))]
+    counted = (seen.select("_domain", F.explode(F.array_distinct(words_expr(F.lower("_t")))).alias("w"))
+               .groupBy("w").agg(*[F.count(F.when(F.col("_domain") == d, 1)).cast("double").alias(f"c{i}")
+                                   for i, d in enumerate(own)]))
+    every = sum(c[1:], c[0])
+
+    def z(i):
+        rest = every - c[i]
+        odds = F.log((c[i] + 0.5) / F.lit(rows[i] + 1) / ((rest + 0.5) / F.lit(sum(rows) - rows[i] + 1)))
+        return F.abs(odds) / F.sqrt(1 / (c[i] + 0.5) + 1 / (rest + 0.5))
+
+    scores = [z(i) for i in range(len(own))]
+    found = (counted.where(every >= LEAST_DOCS)
+             .withColumn("z", F.greatest(*scores) if len(own) > 1 else F.lit(0.0)).where(F.col("z") >= LEAST_Z)
+             .orderBy(F.desc("z"), "w").limit(MOST_WORDS).collect())
+    w = np.log((np.array([[r[f"c{i}"] for r in found] for i in range(len(own))]) + 0.5)
+               / (np.array(rows)[:, None] + 1))
+    w -= w.mean(axis=0)      # only differences between domains count
+    return WordModel(tuple(own), tuple(prior / prior.sum()), tuple(r["w"] for r in found),
+                     tuple(tuple(np.round(r, 5)) for r in w))
+
+
 def literal_doubles(values) -> Column:
     """A constant array column, folded once by the optimizer."""
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
-def posteriors(df: DataFrame, model: DomainModel, key: str = "doc_id", text: str = "text",
-               temperature: float = TEMPERATURE) -> DataFrame:
-    """(key, n_tokens, p): one row per document, p the probability of each domain."""
-    k = len(model.domains)
+def bucket_sums(df: DataFrame, model: DomainModel, key: str, text: str) -> DataFrame:
+    """(_k, n_tokens, s0..): every word adds its bucket's weights."""
     exploded = df.select(F.col(f"`{key}`").alias("_k"),
                          F.explode_outer(words_expr(F.col(f"`{text}`"))).alias("w"))
     hashed = exploded.select("_k", "w", bucket(F.col("w")).alias("b"))
-    sums = hashed.groupBy("_k").agg(
+    return hashed.groupBy("_k").agg(
         F.count("w").alias("n_tokens"),
         *[F.sum(F.when(F.col("w").isNotNull(), F.get(literal_doubles(model.weights[i]), F.col("b")))).alias(f"s{i}")
-          for i in range(k)])
+          for i in range(len(model.domains))])
+
+
+def word_sums(df: DataFrame, model: WordModel, key: str, text: str) -> DataFrame:
+    """(_k, n_tokens, s0..): every telling word that a text holds adds its weights."""
+    # words hold no space, so that one literal splits into them
+    known = F.split(F.lit(" ".join(model.words)), " ")
+    read = (df.select(F.col(f"`{key}`").alias("_k"), words_expr(F.lower(F.col(f"`{text}`"))).alias("w"))
+            .select("_k", F.size("w").cast("long").alias("n"), F.array_intersect("w", known).alias("w"))
+            .select("_k", "n", F.transform("w", lambda w: F.array_position(known, w).cast("int") - 1).alias("at")))
+
+    def total(i):
+        weights = literal_doubles(model.weights[i]) if model.words else F.array().cast("array<double>")
+        return F.aggregate("at", F.lit(0.0), lambda a, j: a + F.coalesce(F.get(weights, j), F.lit(0.0)))
+
+    return read.groupBy("_k").agg(F.sum("n").alias("n_tokens"),
+                                  *[F.sum(total(i)).alias(f"s{i}") for i in range(len(model.domains))])
+
+
+def posteriors(df: DataFrame, model: DomainModel | WordModel, key: str = "doc_id", text: str = "text",
+               temperature: float = TEMPERATURE) -> DataFrame:
+    """(key, n_tokens, p): one row per document, p the probability of each domain."""
+    k = len(model.domains)
+    sums = (word_sums if isinstance(model, WordModel) else bucket_sums)(df, model, key, text)
     logit = [F.lit(math.log(model.prior[i])) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / F.lit(temperature)
              for i in range(k)]
     top = F.greatest(*logit) if k > 1 else logit[0]
@@ -98,9 +178,11 @@ def posteriors(df: DataFrame, model: DomainModel, key: str = "doc_id", text: str
             .select(F.col("_k").alias(key), "n_tokens", F.transform("_odds", lambda x: x / F.col("_sum")).alias("p")))
 
 
-def fold_rate(p: Column, steps: list[list[float]], k: int) -> Column:
+def fold_rate(p: Column, steps: list[list[float]], k: int, low: Column | None = None) -> Column:
     """Rate after the given steps; a step is a scaled residual per domain and a momentum.
 
+    ``low`` is the rate's lower bound, 0 or 1 (0 if not given).
+
     Returns the point at which the next residual is taken and the projected rate, as a struct.
     """
     start = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
@@ -109,7 +191,7 @@ def fold_rate(p: Column, steps: list[list[float]], k: int) -> Column:
 
     def step(a, e):
         move = sum((F.get(p, i) * F.get(e, i) for i in range(1, k)), F.get(p, 0) * F.get(e, 0))
-        x = F.greatest(a["y"] - move, F.lit(0.0))
+        x = F.greatest(a["y"] - move, F.lit(0.0) if low is None else low)
         return F.struct(x.alias("x"), (x + F.get(e, k) * (x - a["x"])).alias("y"))
 
     # one folded literal, so that every iteration runs the same generated code
@@ -118,8 +200,12 @@ def fold_rate(p: Column, steps: list[list[float]], k: int) -> Column:
 
 
 def fit_rates(table: DataFrame, shares, budget: float = 1.0, most_steps: int = MOST_STEPS,
-              tolerance: float = TOLERANCE) -> tuple[list[list[float]], dict]:
-    """Steps of accelerated projected gradient until expected domain totals match the targets."""
+              tolerance: float = TOLERANCE, low: Column | None = None) -> tuple[list[list[float]], dict]:
+    """Steps of accelerated projected gradient until expected domain totals match the targets.
+
+    They end early when the distance to the targets no longer falls; the steps to the least
+    distance and the totals there are returned.
+    """
     k = len(shares)
     n, p = F.col("n_tokens"), F.col("p")
     first = table.agg(F.sum("n_tokens").alias("n"),
@@ -128,46 +214,60 @@ def fit_rates(table: DataFrame, shares, budget: float = 1.0, most_steps: int = M
     total = float(first["n"] or 0)
     target = np.array(shares, float) / sum(shares) * budget
     if not total:
-        return [], {"target": target.tolist(), "expected": [0.0] * k, "steps": 0}
+        return [], {"target": target.tolist(), "expected": [0.0] * k, "steps": 0, "met": False}
     gram = np.zeros((k, k))
     for i in range(k):
         for j in range(i, k):
             gram[i, j] = gram[j, i] = first[f"g{i}_{j}"] / total
     eig = np.linalg.eigvalsh(gram)
-    top, low = eig[-1], max(eig[0], 1e-3 * eig[-1])
-    momentum = (math.sqrt(top / low) - 1) / (math.sqrt(top / low) + 1)
+    top, least = eig[-1], max(eig[0], 1e-3 * eig[-1])
+    momentum = (math.sqrt(top / least) - 1) / (math.sqrt(top / least) + 1)
     steps: list[list[float]] = []
-    expected = np.zeros(k)
+    tried: list[tuple[float, np.ndarray]] = []     # distance and totals after 0, 1, ... steps
     for _ in range(most_steps + 1):
-        at = table.select("n_tokens", "p", fold_rate(p, steps, k).alias("f"))
+        at = table.select("n_tokens", "p", fold_rate(p, steps, k, low).alias("f"))
         sums = at.agg(*[F.sum(n * F.get(p, i) * F.col("f.y")).alias(f"y{i}") for i in range(k)],
                       *[F.sum(n * F.get(p, i) * F.col("f.x")).alias(f"x{i}") for i in range(k)]).first()
         expected = np.array([sums[f"x{i}"] for i in range(k)]) / total
+        tried.append((float(np.linalg.norm(expected - target)), expected))
         if np.abs(expected - target).max() <= tolerance or len(steps) == most_steps:
             break
+        away = [d for d, _ in tried]
+        if len(away) > PATIENCE and min(away[-PATIENCE:]) > 0.99 * min(away[:-PATIENCE]):
+            break
         residual = (np.array([sums[f"y{i}"] for i in range(k)]) / total - target) / top
         steps.append([*residual.tolist(), momentum])
-    return steps, {"target": target.tolist(), "expected": expected.tolist(), "steps": len(steps)}
+    best = len(tried) - 1
+    if np.abs(tried[best][1] - target).max() > tolerance:
+        best = min(range(len(tried)), key=lambda i: tried[i][0])
+    expected = tried[best][1]
+    return steps[:best], {"target": target.tolist(), "expected": expected.tolist(), "steps": best,
+                          "met": bool(np.abs(expected - target).max() <= tolerance)}
 
 
-def rates(df: DataFrame, model: DomainModel, shares, budget: float = 1.0, key: str = "doc_id",
-          text: str = "text") -> DataFrame:
+def rates(df: DataFrame, model: DomainModel | WordModel, shares, budget: float = 1.0, key: str = "doc_id",
+          text: str = "text", floor=None) -> DataFrame:
     """(key, n_tokens, p, rate, copies) of every document.
 
+    ``floor`` is a condition on the posteriors ``p`` under which a rate is 1 at least.
     ``copies`` rounds the rate up with a probability of its fraction, by a hash of the key.
     """
     table = stage(posteriors(df, model, key, text), "posteriors")
-    steps, _ = fit_rates(table, shares, budget)
+    low = None if floor is None else F.when(floor(F.col("p")), F.lit(1.0)).otherwise(F.lit(0.0))
+    steps, totals = fit_rates(table, shares, budget, low=low)
+    LOG.log(logging.INFO if totals["met"] else logging.WARNING, "targets %s: tokens by domain, over all tokens: "
+            "target %s, expected %s after %d steps", "met" if totals["met"] else "not met",
+            np.round(totals["target"], 5), np.round(totals["expected"], 5), totals["steps"])
     draw = F.pmod(F.xxhash64(F.lit("copies"), F.col(f"`{key}`")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (table.withColumn("rate", fold_rate(F.col("p"), steps, len(shares))["x"])
+    return (table.withColumn("rate", fold_rate(F.col("p"), steps, len(shares), low)["x"])
             .withColumn("copies", F.floor(F.col("rate") + draw).cast("int")))
 
 
-def mix(df: DataFrame, model: DomainModel, shares, budget: float = 1.0, key: str = "doc_id",
-        text: str = "text") -> DataFrame:
+def mix(df: DataFrame, model: DomainModel | WordModel, shares, budget: float = 1.0, key: str = "doc_id",
+        text: str = "text", floor=None) -> DataFrame:
     """The documents, each repeated ``copies`` times, with their own columns."""
     own = df.columns
-    found = rates(df, model, shares, budget, key, text).select(F.col(f"`{key}`").alias("_sm_key"), "copies")
+    found = rates(df, model, shares, budget, key, text, floor).select(F.col(f"`{key}`").alias("_sm_key"), "copies")
     joined = df.select(*[F.col(f"`{c}`").alias(f"_sm_{i}") for i, c in enumerate(own)],
                        F.col(f"`{key}`").alias("_sm_own")).join(
         found.withColumnRenamed("copies", "_sm_copies"), F.col("_sm_own").eqNullSafe(F.col("_sm_key")))

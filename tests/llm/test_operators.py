@@ -329,6 +329,39 @@ def test_soft_mix_meets_targets(spark, empty):
     assert softmix.rates(empty.select("doc_id", "text"), model, [1, 1, 1]).count() == 0
 
 
+def test_mixing_keeps_what_is_not_clearly_toxic(spark, caplog):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 8 == 0
+        own = [f"w{rng.randrange(300)}" for _ in range(40)] + (["Scum", "idiot"] if bad else [])
+        rows.append((i, " ".join(own), "x"))
+        labels.append((i, "toxic" if bad else "good"))
+    labels += [(i, "poor") for i in range(1000, 1200)]       # removed before: not in the documents
+    rows += [(500, "", "x"), (501, None, "x"), (None, "w1 w2", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, k string")
+    labelled = spark.createDataFrame(labels, "doc_id long, domain string")
+    model = softmix.fit_words(frame, labelled, softmix.DOMAINS)
+    assert model.domains == ("good", "toxic") and set(model.words) >= {"scum", "idiot"}
+    assert model.prior == pytest.approx((351 / 402, 51 / 402))
+    with caplog.at_level("INFO", logger=softmix.LOG.name):
+        found = softmix.rates(frame, model, [0.999, 0.001], 0.5, floor=lambda p: F.get(p, 1) < 0.9).collect()
+    assert "targets not met" in caplog.text and int(re.search(r"after (\d+) steps", caplog.text)[1]) < 20
+    assert len(found) == 403
+    for r in found:
+        text = (dict((i, t) for i, t, _ in rows)[r["doc_id"]] or "").lower().split()
+        logit = [math.log(model.prior[i]) + sum(model.weights[i][model.words.index(w)] for w in set(text)
+                                                if w in model.words) / softmix.TEMPERATURE for i in range(2)]
+        assert r["n_tokens"] == len(text)
+        assert r["p"][1] == pytest.approx(1 / (1 + math.exp(logit[0] - logit[1])))
+        assert r["copies"] >= 1 or r["p"][1] >= 0.9
+    empty = spark.createDataFrame([], frame.schema)
+    none = softmix.fit_words(empty, labelled, softmix.DOMAINS)
+    assert none.domains == tuple(softmix.DOMAINS) and not none.words
+    assert softmix.rates(empty, none, [1, 1, 1]).count() == 0
+    assert softmix.rates(frame, none, [1, 1, 1]).count() == 403
+
+
 def test_learned_partitions_recall(spark, empty):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(1200, 16))
