@@ -8,7 +8,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starling.session import configure, ensure_checkpoint_dir
@@ -56,6 +56,15 @@ def words_expr(text) -> "F.Column":
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def lower_ascii(text: Column) -> Column:
+    """A text with A-Z in lower case and all other letters as they are."""
+    return (F.when(F.octet_length(text) == F.char_length(text), F.lower(text))
+            .otherwise(F.translate(text, LETTERS, LETTERS.lower())))
+
+
 TAIL = b".,;:!?"
 LATER_SCRIPTS = chr(0x530)   # scripts after Cyrillic
 

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import (anchors, bitplanes, brown, chains, extshuffle, graphparts, pivots, rankarray, softmix,
-                          thresholds)
-from starling.llm.common import prepare, scratch, table
+from starling.llm import (anchors, bitplanes, brown, chains, extshuffle, graphparts, merkle, pivots, rankarray, runs,
+                          softmix, thresholds)
+from starling.llm.common import lower_ascii, prepare, scratch, table
 
 
 def op1_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,9 +98,35 @@ def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graphparts.search(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+def op11_merkle_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaves, subroots, root and proofs of all documents, and a check of a tampered copy."""
+    docs = table(prepare(spark), sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(tampered, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    found = merkle.manifest(docs, ["doc_id", "source", "lang", "n_chars", "text"], altered={"text": text})
+    return (found.withColumn("folded_root", merkle.fold(F.col("altered_leaf"), F.col("path")))
+            .select("doc_id", "leaf", "subroot", "root", merkle.digest(merkle.siblings(F.col("path"))).alias("proof_sha256"),
+                    "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every text, every tenth document with a repeated tail."""
+    found = runs.detect(table(prepare(spark), sf_dir, "documents"), rewrite=runs.repeat_tail)
+    best = runs.longest(F.col("runs"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat(
+        F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 # target shares of tokens of the domains good, poor and toxic
 MIX_SHARES = [0.90, 0.07, 0.03]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bit_planes, op2_brown_classes, op3_classifier_chain, op4_rank_array_bpe, op5_pivot_simhash, op6_anchor_pii,
-    op7_external_shuffle, op8_threshold_rules, op9_soft_mix, op10_learned_partitions)}
+    op7_external_shuffle, op8_threshold_rules, op9_soft_mix, op10_learned_partitions, op11_merkle_rollup,
+    op12_periodic_runs)}
