@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from starling.llm.license_rules import KINDS, RULES
 from starling.llm.thresholds import STOP_WORDS
 
 _STOP = ", ".join(sorted({f"'{f}'" for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())}))
@@ -40,4 +41,122 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_li
 FROM failed
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_threshold_rules": OP8}
+# unsigned crc32 of a short decimal text, bit by bit
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({0}) + 1),
+    lambda i: ascii({0}[i])::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda d, k: xor(d >> 1, 3988292384::BIGINT * (d & 1)))), 4294967295::BIGINT)"""
+
+
+def _op11(levels: int = 11) -> str:
+    """Leaves, levels of nodes one by one, and the fold of every row's siblings."""
+    def entry(c):
+        return f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+
+    def leaf(text):
+        return "sha256(" + " || ".join([*[entry(c) for c in ("doc_id", "source", "lang", "n_chars")], entry(text)]) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps = [f"""leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS rank,
+         count(*) OVER (PARTITION BY g) AS total
+  FROM (SELECT row_number() OVER () AS rid, doc_id, lang AS g, {leaf('text')} AS leaf,
+               CASE WHEN {_CRC.format("(doc_id::VARCHAR)")} % 3 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS other
+        FROM documents)),
+a0 AS (SELECT g, rank AS i, leaf AS node, total AS n FROM leaves)"""]
+
+    def up(name, k):
+        # nodes of level k + 1; a single node stays the top
+        return f"""{name}{k + 1} AS (
+  SELECT g, i // 8 AS i, CASE WHEN max(n) > 1 THEN sha256(string_agg(node, '' ORDER BY i)) ELSE min(node) END AS node,
+         (max(n) + 7) // 8 AS n FROM {name}{k} GROUP BY g, i // 8)"""
+
+    for k in range(levels):
+        steps.append(up("a", k))
+    steps.append(f"tops AS (SELECT g, node AS subroot FROM a{levels})")
+    steps.append("b0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i, subroot AS node, "
+                 "count(*) OVER () AS n, g AS name FROM tops)")
+    for k in range(levels):
+        steps.append(up("b", k))
+
+    def side(name, k):
+        # of every node on level k: the nodes of its run before and after it
+        same = "PARTITION BY g, i // 8 ORDER BY i ROWS BETWEEN"
+        return f"""{name}s{k} AS (
+  SELECT g, i, n, coalesce(string_agg(node, '') OVER ({same} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER ({same} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})"""
+
+    at = 0
+    steps.append("p0 AS (SELECT rid, doc_id, g, leaf, rank AS i, other AS h, '' AS proof FROM leaves)")
+    for name, by in (("a", "x.g IS NOT DISTINCT FROM s.g"), ("b", "true")):
+        for k in range(levels):
+            steps.append(side(name, k))
+            steps.append(f"""p{at + 1} AS (
+  SELECT x.rid, x.doc_id, x.g, x.leaf, x.i // 8 AS i,
+         CASE WHEN s.n > 1 THEN sha256(s.l || x.h || s.r) ELSE x.h END AS h,
+         CASE WHEN s.n > 1 THEN x.proof || s.l || s.r ELSE x.proof END AS proof
+  FROM p{at} x JOIN {name}s{k} s ON {by} AND x.i = s.i)""")
+            at += 1
+        if name == "a":
+            steps.append(f"""p{at + 1} AS (
+  SELECT x.* REPLACE (b.i AS i) FROM p{at} x JOIN b0 b ON x.g IS NOT DISTINCT FROM b.name)""")
+            at += 1
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT p.doc_id, p.leaf, t.subroot, r.node AS root, sha256(p.proof) AS proof_sha256, p.h AS folded_root,
+       p.h = r.node AS verified
+FROM p{at} p JOIN tops t ON p.g IS NOT DISTINCT FROM t.g CROSS JOIN b{levels} r
+"""
+
+
+def _op13() -> str:
+    """Every rule on every text that holds its words; suppression by its definition, pair by pair.
+
+    Words are joined by two spaces here, so that neighbouring matches share none.
+    """
+    def wide(pattern):
+        return pattern.replace(" ?", "(?: )?").replace(" ", "  ").replace("'", "''")
+
+    kinds = list(KINDS)
+    rules = ",\n  ".join(f"({i}, {kinds.index(r.kind)}, '{r.label}', '  ({wide(r.pattern)})  ', "
+                         + "[" + ", ".join("[" + ", ".join(f"'{w}'" for w in s) + "]" for s in r.required) + "])"
+                         for i, r in enumerate(RULES))
+    trust = "[" + ", ".join(str(v) for v in KINDS.values()) + "]"
+    return f"""
+WITH rules(rule, kind, label, pattern, needs) AS (VALUES
+  {rules}),
+base AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+tried AS (
+  SELECT b.rid, r.*, '  ' || array_to_string(b.w, '  ') || '  ' AS t FROM base b JOIN rules r
+  ON len(list_filter(r.needs, lambda s: NOT list_has_any(s, b.w))) = 0),
+told AS (
+  SELECT *, regexp_extract_all(t, pattern, 1) AS texts,
+         string_split(regexp_replace(t, pattern, '  ' || chr(1) || '\\1  ', 'g'), '  ') AS parts FROM tried),
+found AS (
+  SELECT rid, rule, kind, label, unnest(texts) AS m,
+         unnest(list_filter(list_transform(parts, lambda x, i: CASE WHEN starts_with(x, chr(1)) THEN i - 2 END),
+                            lambda x: x IS NOT NULL)) AS first
+  FROM told WHERE len(texts) > 0),
+hits AS (
+  SELECT rid, rule, kind, label, first::BIGINT AS first, first + len(string_split(m, '  ')) AS stop FROM found),
+standing AS (
+  SELECT * FROM hits a WHERE kind = 0 OR NOT EXISTS (
+    SELECT 1 FROM hits b WHERE b.rid = a.rid AND (b.rule, b.first) <> (a.rule, a.first) AND (
+      (b.first <= a.first AND b.stop >= a.stop AND (b.kind < a.kind OR (b.kind = a.kind AND (
+         b.stop - b.first > a.stop - a.first OR b.rule < a.rule))))
+      OR (b.first >= a.first AND b.stop <= a.stop AND b.kind < a.kind)))),
+totals AS (
+  SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_base, min(first) FILTER (WHERE kind = 0) AS first_word,
+         max(first) FILTER (WHERE kind = 0) AS last_word,
+         list_sort(list_distinct(list(label) FILTER (WHERE kind = 0))) AS base_labels,
+         list_sort(list_distinct(list(label))) AS labels, max({trust}[kind + 1]) AS score
+  FROM standing GROUP BY rid)
+SELECT b.doc_id, len(b.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(base_labels, ','), '') AS base_labels,
+       coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM base b LEFT JOIN totals t ON b.rid = t.rid
+"""
+
+
+ORACLE_SQL: dict[str, str] = {"op8_threshold_rules": OP8, "op11_merkle_rollup": _op11(), "op13_license_rules": _op13()}

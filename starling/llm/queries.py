@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starling.llm import (anchors, bitplanes, brown, chains, extshuffle, graphparts, merkle, pivots, rankarray, runs,
-                          softmix, thresholds)
+from starling.llm import (anchors, bitplanes, brown, chains, extshuffle, graphparts, licenses, merkle, pivots, rankarray,
+                          runs, softmix, thresholds)
 from starling.llm.common import lower_ascii, prepare, scratch, table
 
 
@@ -123,10 +123,15 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+def op13_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses named in every text."""
+    return licenses.report(licenses.scan(table(prepare(spark), sf_dir, "documents")))
+
+
 # target shares of tokens of the domains good, poor and toxic
 MIX_SHARES = [0.90, 0.07, 0.03]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_bit_planes, op2_brown_classes, op3_classifier_chain, op4_rank_array_bpe, op5_pivot_simhash, op6_anchor_pii,
     op7_external_shuffle, op8_threshold_rules, op9_soft_mix, op10_learned_partitions, op11_merkle_rollup,
-    op12_periodic_runs)}
+    op12_periodic_runs, op13_license_rules)}
