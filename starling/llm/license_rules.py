@@ -28,8 +28,8 @@ class Rule:
 
 
 # kinds in order of priority with the trust put in one detection of the kind; ``base`` are the phrases
-# that every scan reports whatever else is found there
-KINDS = {"base": 1.0, "tag": 1.0, "text": 0.95, "notice": 0.9, "link": 0.8, "name": 0.7, "clue": 0.3}
+# that every scan reports whatever else is found there, so that they need not suppress anything
+KINDS = {"tag": 1.0, "text": 0.95, "notice": 0.9, "link": 0.8, "name": 0.7, "clue": 0.3, "base": 1.0}
 
 BASE = """
 mit: the mit license
@@ -435,7 +435,7 @@ def _spellings(word: str) -> list[str]:
 
 def compiled() -> tuple[Rule, ...]:
     """All rules in order of priority."""
-    tables = {"base": BASE, "tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES}
+    tables = {"tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES, "base": BASE}
     rules = []
     for kind, lines in tables.items():
         for line in lines.strip().splitlines():

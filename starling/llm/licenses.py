@@ -147,8 +147,9 @@ def report(found: DataFrame) -> DataFrame:
 
     The score is the greatest trust put in a detection that stands, 0 if there is none.
     """
-    base = F.filter("detections", lambda h: h["kind"] == 0)
-    told = F.filter("detections", lambda h: h["stands"] | (h["kind"] == 0))
+    base_kind = list(KINDS).index("base")
+    base = F.filter("detections", lambda h: h["kind"] == base_kind)
+    told = F.filter("detections", lambda h: h["stands"] | (h["kind"] == base_kind))
     trust = F.array(*[F.lit(float(v)) for v in KINDS.values()])
     rest = [c for c in found.columns if c not in ("n_words", "detections")]
     found = once(found.select(*rest, "n_words", F.struct(base.alias("base"), told.alias("told")).alias("d")), "d", F.col("d"))

@@ -119,6 +119,7 @@ def _op13() -> str:
     rules = ",\n  ".join(f"({i}, {kinds.index(r.kind)}, '{r.label}', '  ({wide(r.pattern)})  ', "
                          + "[" + ", ".join("[" + ", ".join(f"'{w}'" for w in s) + "]" for s in r.required) + "])"
                          for i, r in enumerate(RULES))
+    base = kinds.index("base")
     trust = "[" + ", ".join(str(v) for v in KINDS.values()) + "]"
     return f"""
 WITH rules(rule, kind, label, pattern, needs) AS (VALUES
@@ -141,15 +142,15 @@ found AS (
 hits AS (
   SELECT rid, rule, kind, label, first::BIGINT AS first, first + len(string_split(m, '  ')) AS stop FROM found),
 standing AS (
-  SELECT * FROM hits a WHERE kind = 0 OR NOT EXISTS (
+  SELECT * FROM hits a WHERE kind = {base} OR NOT EXISTS (
     SELECT 1 FROM hits b WHERE b.rid = a.rid AND (b.rule, b.first) <> (a.rule, a.first) AND (
       (b.first <= a.first AND b.stop >= a.stop AND (b.kind < a.kind OR (b.kind = a.kind AND (
          b.stop - b.first > a.stop - a.first OR b.rule < a.rule))))
       OR (b.first >= a.first AND b.stop <= a.stop AND b.kind < a.kind)))),
 totals AS (
-  SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_base, min(first) FILTER (WHERE kind = 0) AS first_word,
-         max(first) FILTER (WHERE kind = 0) AS last_word,
-         list_sort(list_distinct(list(label) FILTER (WHERE kind = 0))) AS base_labels,
+  SELECT rid, count(*) FILTER (WHERE kind = {base}) AS n_base, min(first) FILTER (WHERE kind = {base}) AS first_word,
+         max(first) FILTER (WHERE kind = {base}) AS last_word,
+         list_sort(list_distinct(list(label) FILTER (WHERE kind = {base}))) AS base_labels,
          list_sort(list_distinct(list(label))) AS labels, max({trust}[kind + 1]) AS score
   FROM standing GROUP BY rid)
 SELECT b.doc_id, len(b.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
