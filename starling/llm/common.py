@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -56,6 +56,16 @@ def words_expr(text) -> "F.Column":
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """A column that later expressions read and the optimizer never copies into them."""
+    return df.withColumn(name, F.when(F.monotonically_increasing_id() >= 0, value))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 

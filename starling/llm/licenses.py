@@ -25,6 +25,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starling.llm.common import let, once
 from starling.llm.license_rules import KINDS, RULES, Rule
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,16 +36,6 @@ RULE = "struct<label:string,kind:int,rule:int,pattern:string,needs:array<array<s
 HIT = "struct<first:int,end:int,kind:int,rule:int,label:string,stands:boolean>"
 
 
-def once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """A column that later expressions read and the optimizer never copies into them."""
-    return df.withColumn(name, F.when(F.monotonically_increasing_id() >= 0, value))
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.get(F.transform(F.array(value), body), 0)
-
-
 def rule_table(rules: tuple[Rule, ...]) -> Column:
     """The rules as a constant array, folded once by the optimizer."""
     kinds = list(KINDS)

@@ -89,7 +89,7 @@ def op9_soft_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = softmix.fit_domains(docs, softmix.domains_of(labels), softmix.DOMAINS)
     found = softmix.rates(docs, model, MIX_SHARES)
     return found.select("doc_id", "n_tokens", *[F.get("p", i).alias(f"p_{d}") for i, d in enumerate(softmix.DOMAINS)],
-                        "rate", "copies")
+                        "rate", "copies", "targets", "reached")
 
 
 def op10_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,17 +11,20 @@ the domains of the labelled rows, at most ``MOST_WORDS`` of them; a word counts
 
 Rates: document rates x, not below a lower bound (0, or 1 where ``floor`` holds), solve  min |sum_d x_d n_d p_d - t|^2  (n: tokens, p:
 posteriors, t: target tokens per domain) by projected gradient steps from x = 1.  In the
-metric that weighs a document by its tokens a step changes x_d by -(p_d . e) / L, where e
-is the residual (one number per domain) and L the largest eigenvalue of
-sum_d n_d p_d p_d'.  So a document's rate after t steps is a fold of t small residual
-vectors over its posteriors: an iteration is one narrow aggregate over the staged
-posteriors table and returns one number per domain; no rates are shuffled or collected.
-
-Defined results: rows with one id are one document, whose rate each of them gets; a null or
-empty text has no tokens and the prior posteriors; a null id is an id; domains
+metric that weighs a document by its tokens a step changes x_d by -p_d . s and projects, where s is the
+residual (one number per domain) scaled by the inverse of the Gram matrix  sum_d n_d p_d p_d'  of
+the documents that it moves (not at their bound, or pulled away from it): while none reaches it, one step
+meets the targets, so a few steps do.  A step that brings the totals no nearer is halved, then
+replaced by the unscaled one.  A document's rate after t steps is a fold of t
+small vectors over its posteriors: a step is one narrow aggregate over the staged
+posteriors and returns a few sums; no rates are shuffled or collected.
+
+Defined results: every row is a document of its own, whatever ids there are (a null id is an id, equal rows get
+equal rates); a null or empty text has no tokens and the prior posteriors; domains
 without labelled rows or tokens cannot be filled and keep their residual (``fit_words`` leaves
 them out); targets that are not met are logged as a warning with the totals reached; without
-labelled rows the posteriors are uniform; an empty table gives an empty table.
+labelled rows the posteriors are uniform; an empty table gives an empty table; other columns pass
+through, whatever their names.
 """
 
 from __future__ import annotations
@@ -35,14 +38,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starling.llm.common import stage, words_expr
+from starling.llm.common import let, once, stage, words_expr
 
 BUCKETS = 1 << 13
 LABELLED = 5000        # labelled rows that the classifier is fitted on, at most
 TEMPERATURE = 4.0
-MOST_STEPS = 40
 TOLERANCE = 5e-4       # of the target total
-PATIENCE = 5           # steps in which the distance to the targets must fall by a hundredth
+LEAST_GAIN = 0.01      # by which a step brings the totals nearer to the targets
+HALVINGS = 4           # of a scaled step that does not, before the plain one
+RIDGE = 1e-6
 LEAST_DOCS = 10        # labelled rows that hold a word of the second classifier, at least
 LEAST_Z = 3.0          # standard errors by which its log odds differ from zero, at least
 MOST_WORDS = 512
@@ -67,9 +71,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains, key: str = "doc_i
     chosen = (labelled.select(F.col(f"`{key}`").alias("_k"), F.col("domain").alias("_domain"))
               .where(F.col("_domain").isin(*domains)).dropDuplicates(["_k"])
               .orderBy(F.xxhash64("_k"), "_k").limit(most))
-    # at most ``most`` rows of an id and a name: a proven bound
-    seen = (docs.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t"))
-            .join(F.broadcast(chosen), "_k"))
+    seen = labelled_texts(docs, chosen, key, text)
     counted = (seen.select("_domain", F.explode_outer(words_expr(F.col("_t"))).alias("w"))
                .groupBy("_domain", bucket(F.col("w")).alias("b")).agg(F.count("w").alias("n")).collect())
     shares = {r["_domain"]: r["n"] for r in chosen.groupBy("_domain").agg(F.count("*").alias("n")).collect()}
@@ -84,6 +86,15 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domains, key: str = "doc_i
     return DomainModel(tuple(domains), tuple(prior / prior.sum()), tuple(tuple(np.round(r, 5)) for r in w))
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame, key: str, text: str) -> DataFrame:
+    """(_k, _domain, _t): one text per chosen id, that of the smallest hash where an id has several.
+
+    ``chosen`` holds a bounded number of ids and names, so that it is broadcast.
+    """
+    seen = docs.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t")).join(F.broadcast(chosen), "_k")
+    return seen.groupBy("_k", "_domain").agg(F.min_by("_t", F.xxhash64("_t")).alias("_t"))
+
+
 @dataclass(frozen=True)
 class WordModel:
     domains: tuple[str, ...]
@@ -103,9 +114,7 @@ def fit_words(docs: DataFrame, labelled: DataFrame, domains, key: str = "doc_id"
     chosen = stage(labelled.select(F.col(f"`{key}`").alias("_k"), F.col("domain").alias("_domain"))
                    .where(F.col("_domain").isin(*domains)).dropDuplicates(["_k"]).join(ids, "_k", "left_semi")
                    .orderBy(F.xxhash64("_k"), "_k").limit(most), "labelled")
-    # at most ``most`` rows of an id and a name: a proven bound
-    seen = (docs.select(F.col(f"`{key}`").alias("_k"), F.col(f"`{text}`").alias("_t"))
-            .dropDuplicates(["_k"]).join(F.broadcast(chosen), "_k"))
+    seen = labelled_texts(docs, chosen, key, text)
     held = {r["_domain"]: r["n"] for r in chosen.groupBy("_domain").agg(F.count("*").alias("n")).collect()}
     own = [d for d in domains if d in held] or list(domains)
     rows = [float(held.get(d, 0)) for d in own]
@@ -137,143 +146,152 @@ def literal_doubles(values) -> Column:
     return F.split(F.lit(",".join(repr(float(v)) for v in values)), ",").cast("array<double>")
 
 
-def bucket_sums(df: DataFrame, model: DomainModel, key: str, text: str) -> DataFrame:
-    """(_k, n_tokens, s0..): every word adds its bucket's weights."""
-    exploded = df.select(F.col(f"`{key}`").alias("_k"),
-                         F.explode_outer(words_expr(F.col(f"`{text}`"))).alias("w"))
-    hashed = exploded.select("_k", "w", bucket(F.col("w")).alias("b"))
-    return hashed.groupBy("_k").agg(
-        F.count("w").alias("n_tokens"),
-        *[F.sum(F.when(F.col("w").isNotNull(), F.get(literal_doubles(model.weights[i]), F.col("b")))).alias(f"s{i}")
-          for i in range(len(model.domains))])
+def total(places: Column, weights: Column) -> Column:
+    """Sum of the weights at the given places; a place that the weights lack adds nothing."""
+    return F.aggregate(places, F.lit(0.0), lambda a, j: a + F.coalesce(F.get(weights, j), F.lit(0.0)))
+
+
+def bucket_sums(text: Column, model: DomainModel) -> Column:
+    """(n, sums): every word adds its bucket's weights."""
+    return let(F.transform(words_expr(text), lambda w: bucket(w)), lambda at: F.struct(
+        F.size(at).cast("long").alias("n"),
+        F.array(*[total(at, literal_doubles(w)) for w in model.weights]).alias("sums")))
 
 
-def word_sums(df: DataFrame, model: WordModel, key: str, text: str) -> DataFrame:
-    """(_k, n_tokens, s0..): every telling word that a text holds adds its weights."""
+def word_sums(text: Column, model: WordModel) -> Column:
+    """(n, sums): every telling word that a text holds adds its weights."""
     # words hold no space, so that one literal splits into them
     known = F.split(F.lit(" ".join(model.words)), " ")
-    read = (df.select(F.col(f"`{key}`").alias("_k"), words_expr(F.lower(F.col(f"`{text}`"))).alias("w"))
-            .select("_k", F.size("w").cast("long").alias("n"), F.array_intersect("w", known).alias("w"))
-            .select("_k", "n", F.transform("w", lambda w: F.array_position(known, w).cast("int") - 1).alias("at")))
+    tables = [literal_doubles(w) if model.words else F.array().cast("array<double>") for w in model.weights]
 
-    def total(i):
-        weights = literal_doubles(model.weights[i]) if model.words else F.array().cast("array<double>")
-        return F.aggregate("at", F.lit(0.0), lambda a, j: a + F.coalesce(F.get(weights, j), F.lit(0.0)))
+    def found(w):
+        return F.transform(F.array_intersect(w, known), lambda x: F.array_position(known, x).cast("int") - 1)
 
-    return read.groupBy("_k").agg(F.sum("n").alias("n_tokens"),
-                                  *[F.sum(total(i)).alias(f"s{i}") for i in range(len(model.domains))])
+    return let(words_expr(F.lower(text)), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), let(found(w), lambda at: F.array(*[total(at, t) for t in tables])).alias("sums")))
 
 
-def posteriors(df: DataFrame, model: DomainModel | WordModel, key: str = "doc_id", text: str = "text",
+def posteriors(df: DataFrame, model: DomainModel | WordModel, text: str = "text",
                temperature: float = TEMPERATURE) -> DataFrame:
-    """(key, n_tokens, p): one row per document, p the probability of each domain."""
-    k = len(model.domains)
-    sums = (word_sums if isinstance(model, WordModel) else bucket_sums)(df, model, key, text)
-    logit = [F.lit(math.log(model.prior[i])) + F.coalesce(F.col(f"s{i}"), F.lit(0.0)) / F.lit(temperature)
-             for i in range(k)]
-    top = F.greatest(*logit) if k > 1 else logit[0]
-    odds = F.array(*[F.exp(x - top) for x in logit])
-    return (sums.withColumn("_odds", odds)
-            .withColumn("_sum", F.aggregate("_odds", F.lit(0.0), lambda a, x: a + x))
-            .select(F.col("_k").alias(key), "n_tokens", F.transform("_odds", lambda x: x / F.col("_sum")).alias("p")))
+    """(in_0, in_1, .., n_tokens, p): every row's own columns by position, its tokens, each domain's probability."""
+    rows = df.select(*[F.col(f"`{c}`").alias(f"in_{i}") for i, c in enumerate(df.columns)])
+    body = F.col(f"in_{df.columns.index(text)}")
+    rows = once(rows, "s", (word_sums if isinstance(model, WordModel) else bucket_sums)(body, model))
+    logit = F.transform("s.sums", lambda v, i: v / F.lit(temperature) + F.get(literal_doubles(
+        [math.log(x) for x in model.prior]), i))
+    odds = let(logit, lambda v: F.transform(v, lambda x: F.exp(x - F.array_max(v))))
+    p = let(odds, lambda v: F.transform(v, lambda x: x / F.aggregate(v, F.lit(0.0), lambda a, y: a + y)))
+    own = [c for c in rows.columns if c != "s"]
+    rows = once(rows, "p", p)
+    return rows.select(*own, F.col("s.n").alias("n_tokens"), "p")
 
 
 def fold_rate(p: Column, steps: list[list[float]], k: int, low: Column | None = None) -> Column:
-    """Rate after the given steps; a step is a scaled residual per domain and a momentum.
+    """Rate after the given steps, from 1; a step is a scaled residual per domain.
 
     ``low`` is the rate's lower bound, 0 or 1 (0 if not given).
-
-    Returns the point at which the next residual is taken and the projected rate, as a struct.
     """
-    start = F.struct(F.lit(1.0).alias("x"), F.lit(1.0).alias("y"))
     if not steps:
-        return start
+        return F.lit(1.0)
+    # one folded literal, so that every iteration runs the same generated code
+    given = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
 
-    def step(a, e):
+    def step(x, e):
         move = sum((F.get(p, i) * F.get(e, i) for i in range(1, k)), F.get(p, 0) * F.get(e, 0))
-        x = F.greatest(a["y"] - move, F.lit(0.0) if low is None else low)
-        return F.struct(x.alias("x"), (x + F.get(e, k) * (x - a["x"])).alias("y"))
+        return F.greatest(x - move, F.lit(0.0) if low is None else low)
 
-    # one folded literal, so that every iteration runs the same generated code
-    given = F.from_json(F.lit(json.dumps(steps)), "array<array<double>>")
-    return F.aggregate(given, start, step)
+    return F.aggregate(given, F.lit(1.0), step)
 
 
-def fit_rates(table: DataFrame, shares, budget: float = 1.0, most_steps: int = MOST_STEPS,
-              tolerance: float = TOLERANCE, low: Column | None = None) -> tuple[list[list[float]], dict]:
-    """Steps of accelerated projected gradient until expected domain totals match the targets.
+def fit_rates(table: DataFrame, shares, budget: float = 1.0, tolerance: float = TOLERANCE,
+              low: Column | None = None) -> tuple[list[list[float]], dict]:
+    """Steps of scaled projected gradient until expected domain totals match the targets.
 
-    They end early when the distance to the targets no longer falls; the steps to the least
-    distance and the totals there are returned.
+    They end early when neither the scaled step, halved ``HALVINGS`` times at most, nor the plain
+    gradient step brings the totals nearer by ``LEAST_GAIN``.
     """
     k = len(shares)
     n, p = F.col("n_tokens"), F.col("p")
-    first = table.agg(F.sum("n_tokens").alias("n"),
-                      *[F.sum(n * F.get(p, i) * F.get(p, j)).alias(f"g{i}_{j}")
-                        for i in range(k) for j in range(i, k)]).first()
-    total = float(first["n"] or 0)
     target = np.array(shares, float) / sum(shares) * budget
+    total = float(table.agg(F.sum("n_tokens")).first()[0] or 0)
     if not total:
         return [], {"target": target.tolist(), "expected": [0.0] * k, "steps": 0, "met": False}
-    gram = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            gram[i, j] = gram[j, i] = first[f"g{i}_{j}"] / total
-    eig = np.linalg.eigvalsh(gram)
-    top, least = eig[-1], max(eig[0], 1e-3 * eig[-1])
-    momentum = (math.sqrt(top / least) - 1) / (math.sqrt(top / least) + 1)
+
+    def totals(steps):
+        at = table.select("n_tokens", "p", fold_rate(p, steps, k, low).alias("x"))
+        sums = at.agg(*[F.sum(n * F.get(p, i) * F.col("x")) for i in range(k)]).first()
+        return np.array(sums, float) / total
+
+    def gram(rows):
+        pairs = [(i, j) for i in range(k) for j in range(i, k)]
+        sums = rows.agg(*[F.sum(n * F.get(p, i) * F.get(p, j)) for i, j in pairs]).first()
+        out = np.zeros((k, k))
+        for (i, j), v in zip(pairs, sums):
+            out[i, j] = out[j, i] = (v or 0.0) / total
+        return out
+
+    def moved(steps, residual):
+        # documents not at their bound, or pulled away from it
+        pull = sum((F.get(p, i) * F.lit(float(residual[i])) for i in range(1, k)), F.get(p, 0) * F.lit(float(residual[0])))
+        return table.select("n_tokens", "p", fold_rate(p, steps, k, low).alias("x"), (pull < 0).alias("inward"),
+                            (F.lit(0.0) if low is None else low).alias("low")).where("inward or x > low")
+
+    largest = float(np.linalg.eigvalsh(gram(table))[-1])
     steps: list[list[float]] = []
-    tried: list[tuple[float, np.ndarray]] = []     # distance and totals after 0, 1, ... steps
-    for _ in range(most_steps + 1):
-        at = table.select("n_tokens", "p", fold_rate(p, steps, k, low).alias("f"))
-        sums = at.agg(*[F.sum(n * F.get(p, i) * F.col("f.y")).alias(f"y{i}") for i in range(k)],
-                      *[F.sum(n * F.get(p, i) * F.col("f.x")).alias(f"x{i}") for i in range(k)]).first()
-        expected = np.array([sums[f"x{i}"] for i in range(k)]) / total
-        tried.append((float(np.linalg.norm(expected - target)), expected))
-        if np.abs(expected - target).max() <= tolerance or len(steps) == most_steps:
+    expected = totals(steps)
+    while np.abs(expected - target).max() > tolerance:
+        residual = expected - target
+        move = np.linalg.solve(gram(moved(steps, residual)) + RIDGE * np.eye(k), residual)
+        # the scaled step, ever shorter, and at last the gradient's own
+        for one in [*[move / 2 ** i for i in range(HALVINGS + 1)], residual / largest]:
+            longer = [*steps, one.tolist()]
+            found = totals(longer)
+            if np.linalg.norm(found - target) < (1 - LEAST_GAIN) * np.linalg.norm(residual):
+                break
+        else:
             break
-        away = [d for d, _ in tried]
-        if len(away) > PATIENCE and min(away[-PATIENCE:]) > 0.99 * min(away[:-PATIENCE]):
-            break
-        residual = (np.array([sums[f"y{i}"] for i in range(k)]) / total - target) / top
-        steps.append([*residual.tolist(), momentum])
-    best = len(tried) - 1
-    if np.abs(tried[best][1] - target).max() > tolerance:
-        best = min(range(len(tried)), key=lambda i: tried[i][0])
-    expected = tried[best][1]
-    return steps[:best], {"target": target.tolist(), "expected": expected.tolist(), "steps": best,
-                          "met": bool(np.abs(expected - target).max() <= tolerance)}
+        steps, expected = longer, found
+    return steps, {"target": target.tolist(), "expected": expected.tolist(), "steps": len(steps),
+                   "met": bool(np.abs(expected - target).max() <= tolerance)}
 
 
-def rates(df: DataFrame, model: DomainModel | WordModel, shares, budget: float = 1.0, key: str = "doc_id",
-          text: str = "text", floor=None) -> DataFrame:
-    """(key, n_tokens, p, rate, copies) of every document.
+def rated(df: DataFrame, model: DomainModel | WordModel, shares, budget: float, key: str, text: str,
+          floor) -> tuple[DataFrame, dict]:
+    """Every row's own columns by position with n_tokens, p, rate and copies; and the totals reached.
 
-    ``floor`` is a condition on the posteriors ``p`` under which a rate is 1 at least.
-    ``copies`` rounds the rate up with a probability of its fraction, by a hash of the key.
+    ``copies`` rounds the rate up with a probability of its fraction, by a hash of key and text.
     """
-    table = stage(posteriors(df, model, key, text), "posteriors")
+    table = stage(posteriors(df, model, text), "posteriors")
     low = None if floor is None else F.when(floor(F.col("p")), F.lit(1.0)).otherwise(F.lit(0.0))
     steps, totals = fit_rates(table, shares, budget, low=low)
     LOG.log(logging.INFO if totals["met"] else logging.WARNING, "targets %s: tokens by domain, over all tokens: "
             "target %s, expected %s after %d steps", "met" if totals["met"] else "not met",
             np.round(totals["target"], 5), np.round(totals["expected"], 5), totals["steps"])
-    draw = F.pmod(F.xxhash64(F.lit("copies"), F.col(f"`{key}`")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return (table.withColumn("rate", fold_rate(F.col("p"), steps, len(shares), low)["x"])
-            .withColumn("copies", F.floor(F.col("rate") + draw).cast("int")))
+    k, t = (F.col(f"in_{df.columns.index(c)}") for c in (key, text))
+    draw = F.pmod(F.xxhash64(F.lit("copies"), k, t), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    table = once(table, "rate", fold_rate(F.col("p"), steps, len(shares), low))
+    return table.withColumn("copies", F.floor(F.col("rate") + draw).cast("int")), totals
+
+
+def rates(df: DataFrame, model: DomainModel | WordModel, shares, budget: float = 1.0, key: str = "doc_id",
+          text: str = "text", floor=None) -> DataFrame:
+    """(key, n_tokens, p, rate, copies, targets, reached) of every row.
+
+    ``floor`` is a condition on the posteriors ``p`` under which a rate is 1 at least.
+    ``targets`` and ``reached`` are the domains' token totals over all tokens, asked for and expected.
+    """
+    found, totals = rated(df.select(F.col(f"`{key}`"), F.col(f"`{text}`")), model, shares, budget, key, text, floor)
+    return found.select(F.col("in_0").alias(key), "n_tokens", "p", "rate", "copies",
+                        literal_doubles(totals["target"]).alias("targets"),
+                        literal_doubles(totals["expected"]).alias("reached"))
 
 
 def mix(df: DataFrame, model: DomainModel | WordModel, shares, budget: float = 1.0, key: str = "doc_id",
         text: str = "text", floor=None) -> DataFrame:
-    """The documents, each repeated ``copies`` times, with their own columns."""
-    own = df.columns
-    found = rates(df, model, shares, budget, key, text, floor).select(F.col(f"`{key}`").alias("_sm_key"), "copies")
-    joined = df.select(*[F.col(f"`{c}`").alias(f"_sm_{i}") for i, c in enumerate(own)],
-                       F.col(f"`{key}`").alias("_sm_own")).join(
-        found.withColumnRenamed("copies", "_sm_copies"), F.col("_sm_own").eqNullSafe(F.col("_sm_key")))
-    return (joined.where("_sm_copies > 0")
-            .withColumn("_sm_n", F.explode(F.sequence(F.lit(1), F.col("_sm_copies"))))
-            .select(*[F.col(f"_sm_{i}").alias(c) for i, c in enumerate(own)]))
+    """The rows, each repeated ``copies`` times, with their own columns."""
+    found, _ = rated(df, model, shares, budget, key, text, floor)
+    return (found.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+            .select(*[F.col(f"in_{i}").alias(c) for i, c in enumerate(df.columns)]))
 
 
 def domains_of(labels: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -318,17 +318,49 @@ def test_soft_mix_meets_targets(spark, empty):
     labelled = frame.where("doc_id < 200").selectExpr("doc_id", "concat('d', p) as domain")
     model = softmix.fit_domains(frame, labelled, ["d0", "d1", "d2"])
     found = softmix.rates(frame, model, [0.5, 0.3, 0.2]).collect()
-    assert len(found) == 303 and all(r["rate"] >= 0 for r in found)
+    assert len(found) == 304 and all(r["rate"] >= 0 for r in found)      # every row is a document of its own
     total = sum(r["n_tokens"] for r in found)
     for i, share in enumerate((0.5, 0.3, 0.2)):
         assert sum(r["rate"] * r["n_tokens"] * r["p"][i] for r in found) / total == pytest.approx(share, abs=1e-3)
+        assert found[0]["reached"][i] == pytest.approx(found[0]["targets"][i], abs=softmix.TOLERANCE)
     mixed = softmix.mix(frame, model, [0.5, 0.3, 0.2])
-    copies = {r["doc_id"]: r["copies"] for r in found}
     assert mixed.columns == frame.columns
-    assert mixed.count() == sum(copies[i] for i, _, _ in rows)
+    assert mixed.count() == sum(r["copies"] for r in found)
     assert softmix.rates(empty.select("doc_id", "text"), model, [1, 1, 1]).count() == 0
 
 
+def test_mixing_rates_rows_and_not_ids(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        rows.append((i, " ".join([f"w{rng.randrange(200)}" for _ in range(30)] + ["scum", "idiot"] * bad)))
+        labels.append((i, "toxic" if bad else "good"))
+    shared = [(None, "scum idiot w1 w2 w3"), (None, "scum idiot w4"), *[(None, f"w{i} w{i + 1} w{i + 2}") for i in range(6)],
+              (900, "scum idiot w8 w9"), (900, "w9 w10 w11"), (900, "w9 w10 w11")]
+    frame = spark.createDataFrame(rows + shared, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "1 as n_tokens", "2 as p", "3 as rate", "4 as copies", "5 as in_0", "6 as body")
+    labelled = spark.createDataFrame(labels, "doc_id long, domain string")
+    model = softmix.fit_words(frame, labelled, softmix.DOMAINS)
+    kept = softmix.mix(frame, model, [1, 0], floor=lambda p: F.get(p, 1) < 0.9)
+    assert kept.columns == frame.columns and kept.first()["rate"] == 3
+    texts = {(r["doc_id"], r["text"]) for r in kept.collect()}
+    assert all((i, t) in texts for i, t in shared if "scum" not in t)
+    found = {(r["doc_id"], r["n_tokens"]): r for r in softmix.rates(frame, model, [1, 0]).collect()}
+    assert found[(900, 4)]["p"][1] > found[(900, 3)]["p"][1] + 0.3
+
+
+def test_mixing_of_a_very_long_text(spark):
+    rows = [(i, "good " * 5 if i % 2 else "bad " * 5) for i in range(100)] + [(100, "good " * 200_000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    labelled = frame.where("doc_id < 100").selectExpr("doc_id", "if(doc_id % 2 = 1, 'good', 'poor') as domain")
+    model = softmix.fit_domains(frame, labelled, ["good", "poor"])
+    found = {r["doc_id"]: r for r in softmix.rates(frame, model, [1, 1]).collect()}
+    assert found[100]["n_tokens"] == 200_000 and found[100]["p"][0] > 0.99
+    # one text holds nearly all tokens: poor rows are raised until both domains weigh the same
+    assert found[100]["reached"] == pytest.approx([0.5, 0.5], abs=softmix.TOLERANCE)
+
+
 def test_mixing_keeps_what_is_not_clearly_toxic(spark, caplog):
     rng = random.Random(6)
     rows, labels = [], []
