@@ -3,7 +3,7 @@
     python -m starling load    --sf-dir /root/testdata/sf0.1 --warehouse /shared/wh [--lake /shared/lake]
     python -m starling query   monthly_premium --sf-dir DIR [--warehouse WH] [--show 20]
     python -m starling report  --warehouse WH --sf-dir DIR
-    python -m starling stream  --source DIR --log DIR --checkpoint DIR [--policy strict|lenient]
+    python -m starling stream  --source DIR|TOPIC [--brokers HOSTS] --log DIR --checkpoint DIR [--policy strict|lenient]
     python -m starling list
 
 ``--as-of YYYY-MM-DD`` sets the run's "today" (default 2001-12-31 for the test tables).
@@ -48,6 +48,11 @@ def main(argv=None) -> int:
     p_stream.add_argument("--log", required=True)
     p_stream.add_argument("--checkpoint", required=True)
     p_stream.add_argument("--quarantine")
+    p_stream.add_argument("--counts", help="folder of the counts per micro-batch (default: beside the log)")
+    p_stream.add_argument("--brokers", help="read the Kafka topic --source from these brokers, not a folder")
+    p_stream.add_argument("--batch-rows", type=int, help="messages per micro-batch (Kafka)")
+    p_stream.add_argument("--batch-files", type=int, help="feed files per micro-batch (folder)")
+    p_stream.add_argument("--follow", action="store_true", help="run for ever instead of reading what there is")
     p_stream.add_argument("--policy", choices=["strict", "lenient"], default="strict")
     p_stream.add_argument("--master", default=None)
     args = ap.parse_args(argv)
@@ -91,12 +96,20 @@ def main(argv=None) -> int:
             analytics.ordered(registry.STAR_QUERIES[name](star),
                               *registry.order_columns(name)).show(50, truncate=False)
     elif args.cmd == "stream":
-        from starling.streaming import ingest
-        queries = ingest.start_event_log(ingest.file_feed(spark, args.source), args.log, args.checkpoint,
-                                         args.policy, quarantine_path=args.quarantine)
-        for q in queries:
-            q.awaitTermination()
-            print(f"{q.name or 'query'}: {ingest.progress_rows(q)} events ingested")
+        from starling.streaming import consumer
+        policy = consumer.POLICIES[args.policy].with_limits(rows=args.batch_rows, files=args.batch_files)
+        sinks = consumer.Sinks(args.log, args.counts or f"{args.log.rstrip('/')}-counts", args.quarantine)
+        if args.brokers:
+            topic = consumer.kafka_topic(spark, policy, args.brokers, args.source)
+        else:
+            topic = consumer.folder_topic(spark, policy, args.source, args.checkpoint)
+        query = consumer.start(topic, sinks, args.checkpoint, policy, available_now=not args.follow,
+                               name=f"event_log_{args.policy}")
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
+        for r in consumer.totals(spark, sinks).collect():
+            print(f"{r['stream_id']}: {r['received']} events received, {r['logged']} logged, {r['broken']} broken")
     spark.stop()
     return 0
 

@@ -617,6 +617,11 @@ SELECT CASE event_type WHEN 'signup' THEN 'new_policy' WHEN 'error' THEN 'new_cl
                  WHEN 'purchase' THEN 'new_payment' ELSE event_type END END AS raw_value
 FROM events WHERE event_id % 97 < 2"""
 
+Q["event_lines"] = with_ctes(["events_msg"], """
+SELECT event_id AS place, event_type, CAST(a AS DOUBLE) AS amount, 'KES ' || format('{:,.2f}', CAST(a AS DOUBLE)) AS label
+FROM (SELECT *, CASE WHEN event_type IN ('new_policy', 'new_claim', 'new_payment') THEN amount ELSE 0 END AS a
+      FROM events_msg WHERE event_id % 97 > 1)""")
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)

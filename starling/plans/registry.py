@@ -19,6 +19,7 @@ from starling.plans import keysets as K
 from starling.plans import views as V
 from starling.plans.star import Star
 from starling.sources import testbed
+from starling.streaming import consumer as C
 from starling.streaming import decode as D
 
 
@@ -119,11 +120,16 @@ def _event_quarantine(spark: SparkSession, sf_dir: str, params: RunParams) -> Da
     return D.quarantine(testbed.broken_feed(spark, sf_dir), keep=["key", "seq"])
 
 
+def _event_lines(spark: SparkSession, sf_dir: str, params: RunParams) -> DataFrame:
+    return C.event_lines(D.parse(testbed.broken_feed(spark, sf_dir)), F.col("seq"))
+
+
 FEED_QUERIES = {
     "events_strict": _events("strict"),
     "events_lenient": _events("lenient"),
     "event_totals": _event_totals,
     "event_quarantine": _event_quarantine,
+    "event_lines": _event_lines,
 }
 
 ALL = list(STAR_QUERIES) + list(FEED_QUERIES)

@@ -31,16 +31,11 @@ def jdbc_append(df: DataFrame, url: str, table: str, properties: dict | None = N
     w.mode("append").save()
 
 
-def kafka_stream(spark: SparkSession, brokers: str, topic: str, starting_offsets: str = "earliest",
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+def kafka_stream(spark: SparkSession, brokers: str, topic: str, options: dict[str, str] | None = None) -> DataFrame:
     """Kafka topic as a stream of (key, value, topic, partition, offset, timestamp).
 
-    ``earliest`` = strict consumer, ``latest`` = lenient consumer.  The
-    checkpoint of the query that reads it replaces the consumer group offsets; offsets
-    that the topic no longer holds fail the query (Spark's default).
+    ``options`` come from a consumer policy (``streaming.consumer``).  The checkpoint of the
+    query that reads it replaces the consumer group's offsets.
     """
-    r = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers)
-         .option("subscribe", topic).option("startingOffsets", starting_offsets))
-    if max_offsets_per_trigger:
-        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return r.load()
+    return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", brokers).option("subscribe", topic)
+            .options(**(options or {})).load())

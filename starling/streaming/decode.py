@@ -91,7 +91,11 @@ def decode_lenient(parsed: DataFrame, ingest_ts: Column | None = None) -> DataFr
 
 def decode(df: DataFrame, policy: str = "strict", ingest_ts: Column | None = None,
            failfast: bool = False) -> DataFrame:
-    parsed = parse(df, failfast)
+    return decode_parsed(parse(df, failfast), policy, ingest_ts)
+
+
+def decode_parsed(parsed: DataFrame, policy: str, ingest_ts: Column | None = None) -> DataFrame:
+    """Event-log rows of messages that ``parse`` has read."""
     if policy == "strict":
         return decode_strict(parsed, ingest_ts)
     if policy == "lenient":

@@ -82,8 +82,3 @@ def start_event_log_foreach_batch(source: DataFrame, table_path: str, checkpoint
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark keeps in a query's checkpoint from its first start on."""
     return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
-
-
-def progress_rows(query: StreamingQuery) -> int:
-    """Rows ingested so far by a query (running event counter)."""
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
