@@ -40,6 +40,7 @@ def main(argv=None) -> int:
         p.add_argument("--master", default=None)
     p_load.add_argument("--warehouse", required=True)
     p_load.add_argument("--lake")
+    p_load.add_argument("--mirror", help="root of the mirror tables")
     p_query.add_argument("name")
     p_query.add_argument("--warehouse")
     p_query.add_argument("--show", type=int, default=20)
@@ -69,7 +70,7 @@ def main(argv=None) -> int:
         from starling.sources import testbed
         params = _params(args)
         report = load.run(spark, testbed.domain(spark, args.sf_dir, params), args.warehouse, params,
-                          lake_root=args.lake)
+                          lake_root=args.lake, mirror_root=args.mirror)
         print(json.dumps(report, default=str, indent=2))
     elif args.cmd == "query":
         params = _params(args)

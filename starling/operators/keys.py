@@ -9,7 +9,7 @@ hashed slot number.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from starling.functions.hashing import hash32
@@ -39,6 +39,20 @@ def split_by_reference(df: DataFrame, ref: DataFrame, key: str, ref_key: str | N
     return df.join(r, cond, "left_semi"), df.join(r, cond, "left_anti")
 
 
+def keep_observed(df: DataFrame, ref: DataFrame, key: str, observation: Observation | None) -> DataFrame:
+    """Rows whose key is in ``ref``; ``observation`` counts rows read and dropped while they are written.
+
+    ``ref`` holds each key once.  Counts of tasks that run again after a lost executor can be
+    added twice where a shuffle follows; compare them with the rows written.
+    """
+    r = ref.select(F.col(key).alias("_ref_key"), F.lit(True).alias("_known"))
+    marked = df.join(r, df[key] == r["_ref_key"], "left")
+    if observation is not None:
+        marked = marked.observe(observation, F.count(F.lit(1)).alias("read"),
+                                F.count_if(F.col("_known").isNull()).alias("dropped"))
+    return marked.where("_known").drop("_ref_key", "_known")
+
+
 def _pinned(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint into the session's ``spark.checkpoint.dir``."""
     if checkpoint_dir(df.sparkSession) is None:  # remote session without one: plan reuse only

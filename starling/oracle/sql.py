@@ -97,7 +97,7 @@ SELECT n.n_name AS county, r.r_name AS region FROM nation n JOIN region r ON n.n
 cte("calendar", ["policies"], f"""
 SELECT CAST(d AS DATE) AS date_key
 FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(start_date)) AS TIMESTAMP),
-                                    CAST(DATE '2001-12-31' AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM policies)""")
+                                    CAST(DATE '2002-12-31' AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM policies)""")
 
 cte("dim_date", ["calendar"], """
 SELECT date_key, CAST(day(date_key) AS INTEGER) AS day, CAST(month(date_key) AS INTEGER) AS month,
@@ -491,11 +491,12 @@ WHERE NOT EXISTS (SELECT 1 FROM fact_sales t WHERE t.start_date <= {PREV_AS_OF}
                   AND t.policy_id IS NOT DISTINCT FROM f.policy_id)""")
 
 Q["rows_with_valid_date"] = with_ctes(["fact_payments"], """
-SELECT payment_id, policy_id, date_key, CAST(payment_amount AS DOUBLE) AS payment_amount FROM fact_payments""")
+SELECT payment_id, policy_id, date_key, CAST(payment_amount AS DOUBLE) AS payment_amount FROM fact_payments
+WHERE date_key <= DATE '2001-12-31'""")
 
 Q["dropped_dates"] = with_ctes(["payment_rows", "dim_date"], """
 SELECT payment_id, policy_id, payment_date AS date_key, CAST(payment_amount AS DOUBLE) AS payment_amount
-FROM payment_rows WHERE payment_date NOT IN (SELECT date_key FROM dim_date)""")
+FROM payment_rows WHERE payment_date NOT IN (SELECT date_key FROM dim_date WHERE date_key <= DATE '2001-12-31')""")
 
 Q["orphan_customers"] = with_ctes(["policies", "dim_customer"], """
 SELECT COUNT(*) AS orphan_policies, COUNT(DISTINCT customer_id) AS orphan_customer_ids

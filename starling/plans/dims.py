@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from starling.functions import columns as C
 from starling.functions.hashing import hash32, pick
+from starling.operators.expand import PAYMENT_DELAY_DAYS
 from starling.operators.keys import assign_serial_keys, only_new_rows
 from starling.operators.lookup import checked_broadcast
 from starling.params import RunParams
@@ -27,10 +28,11 @@ def dim_date(spark: SparkSession, policies: DataFrame | None, params: RunParams,
     """Calendar with 13 attributes.
 
     Bounds: ``params.calendar_start/end`` when given (the reference uses
-    2019-01-01..2030-12-31), otherwise Jan 1 of the first policy year through
-    Dec 31 of the ``as_of`` year, derived from the data.
+    2019-01-01..2030-12-31), otherwise Jan 1 of the first policy year, derived from the data, through
+    Dec 31 of the year of the last payment possible: one due on ``as_of`` with the longest delay.
     """
-    end = params.calendar_end or _dt.date(params.as_of.year, 12, 31)
+    last = params.as_of + _dt.timedelta(days=PAYMENT_DELAY_DAYS[1])
+    end = params.calendar_end or _dt.date(last.year, 12, 31)
     if params.calendar_start is not None or policies is None:
         days = literals.calendar(spark, params.calendar_start or _dt.date(params.as_of.year, 1, 1), end)
     else:

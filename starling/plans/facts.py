@@ -8,13 +8,13 @@ construction (calendar, the 5 claim statuses).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starling.functions.hashing import hash32, stable_id
 from starling.functions.money import lenient_money
 from starling.operators.expand import installment_schedule, payment_attributes
-from starling.operators.keys import assign_partner, split_by_reference
+from starling.operators.keys import assign_partner, keep_observed, split_by_reference
 from starling.operators.lookup import bounded_broadcast, checked_broadcast
 from starling.params import RunParams
 from starling.schemas import FACT_CLAIMS, FACT_PAYMENTS, FACT_SALES, MONEY, RATE, conform
@@ -97,17 +97,18 @@ def payment_rows(policies: DataFrame, dim_customer: DataFrame, dim_county: DataF
     return df.withColumn("created_at", F.lit(params.load_ts).cast("timestamp"))
 
 
-def fact_payments_split(policies, dim_customer, dim_county, dim_policy_type, dim_date,
-                        params: RunParams) -> tuple[DataFrame, DataFrame]:
+def split_payments(rows: DataFrame, dim_date: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(kept, dropped): installments whose payment date is / is not in the calendar.
 
     The calendar is bounded (years x 366 rows), so the semi/anti joins broadcast it.
     """
-    rows = payment_rows(policies, dim_customer, dim_county, dim_policy_type, params)
-    cal = bounded_broadcast(dim_date.select("date_key"))
-    kept, dropped = split_by_reference(rows, cal, "date_key")
+    kept, dropped = split_by_reference(rows, bounded_broadcast(dim_date.select("date_key")), "date_key")
     return conform(kept, FACT_PAYMENTS), dropped
 
 
-def fact_payments(policies, dim_customer, dim_county, dim_policy_type, dim_date, params: RunParams) -> DataFrame:
-    return fact_payments_split(policies, dim_customer, dim_county, dim_policy_type, dim_date, params)[0]
+def fact_payments(policies, dim_customer, dim_county, dim_policy_type, dim_date, params: RunParams,
+                  observation: Observation | None = None) -> DataFrame:
+    """Installments whose payment date is in the calendar; ``observation`` counts read and dropped rows."""
+    rows = payment_rows(policies, dim_customer, dim_county, dim_policy_type, params)
+    calendar = bounded_broadcast(dim_date.select("date_key"))
+    return conform(keep_observed(rows, calendar, "date_key", observation), FACT_PAYMENTS)

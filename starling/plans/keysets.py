@@ -3,6 +3,8 @@ assignment, sampling and child expansion (JN-10 .. JN-14, FLT-8, ARR-2)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,16 +30,23 @@ def new_rows_only(star: Star) -> DataFrame:
                       F.col("premium_amount").cast("double").alias("premium_amount"))
 
 
+def _up_to_as_of(star: Star) -> DataFrame:
+    """The calendar through the ``as_of`` year, in which late payments of its last days have no date."""
+    return star.dim_date.where(F.col("date_key") <= F.lit(dt.date(star.params.as_of.year, 12, 31)))
+
+
 def rows_with_valid_date(star: Star) -> DataFrame:
-    """JN-12 kept side: installments whose payment date is in dim_date."""
-    return star.fact_payments.select("payment_id", "policy_id", "date_key",
-                                     F.col("payment_amount").cast("double").alias("payment_amount"))
+    """JN-12 kept side: installments whose payment date is in the calendar through the ``as_of`` year."""
+    kept, _ = facts.split_payments(star.payment_rows, _up_to_as_of(star))
+    return kept.select("payment_id", "policy_id", "date_key",
+                       F.col("payment_amount").cast("double").alias("payment_amount"))
 
 
 def dropped_dates(star: Star) -> DataFrame:
-    """JN-12 dropped side: installments outside the calendar (reported, not loaded)."""
-    return star.dropped_payments.select("payment_id", "policy_id", "date_key",
-                                        F.col("payment_amount").cast("double").alias("payment_amount"))
+    """JN-12 dropped side: installments outside of that calendar (reported, not loaded)."""
+    _, dropped = facts.split_payments(star.payment_rows, _up_to_as_of(star))
+    return dropped.select("payment_id", "policy_id", "date_key",
+                          F.col("payment_amount").cast("double").alias("payment_amount"))
 
 
 def orphan_customers(star: Star) -> DataFrame:
@@ -90,7 +99,3 @@ def installment_schedule(star: Star) -> DataFrame:
     s = sched(star.policies, star.params.as_of)
     return s.select("policy_id", "payment_frequency", "installment_no", "due_date",
                     F.col("expected_amount").cast("double").alias("expected_amount"))
-
-
-def payment_lookup_rows(star: Star) -> DataFrame:
-    return facts.payment_rows(star.policies, star.dim_customer, star.dim_county, star.dim_policy_type, star.params)

@@ -8,6 +8,7 @@ path on a cluster):
     {checkpoint dir}/starling-staging/{run}/{table}
                             each run's new rows, written once then read back
     {lake}/{table}_{ts}     optional timestamped snapshots
+    {mirror}/fact_*         optional mirror tables under a schema contract (sinks.mirror)
 
 Every step is re-runnable: dimensions and facts append only keys not yet
 stored (left anti join on the key), and every generated value is a hash of
@@ -22,18 +23,21 @@ Spark jobs from driver threads.
 from __future__ import annotations
 
 import dataclasses
+import logging
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starling.operators.keys import only_new_rows
 from starling.params import RunParams
 from starling.plans import checks, dims
+from starling.plans.facts import split_payments
 from starling.plans.star import Star
 from starling.schemas import STAR, conform
+from starling.sinks.mirror import Contract, Mirror
 from starling.sinks.writers import append, write_snapshot
 from starling.session import checkpoint_dir
 from starling.sources.files import path_exists, read_parquet, require_rows
@@ -42,6 +46,10 @@ FACT_KEYS = {"fact_sales": "policy_id", "fact_claims": "claim_id", "fact_payment
 FACT_ORDER = ["fact_sales", "fact_claims", "fact_payments"]
 DIM_ORDER = ["dim_date", "dim_policy_type", "dim_county", "dim_claim_status", "dim_customer", "dim_agent"]
 PARTITION_COL = "date_month"
+# the sales mirror takes new columns, the others do not
+CONTRACTS = {name: Contract(STAR[name], additive=name == "fact_sales") for name in FACT_ORDER}
+
+LOG = logging.getLogger(__name__)
 
 
 class Warehouse:
@@ -144,34 +152,57 @@ def build_dimensions(spark: SparkSession, domain: dict[str, DataFrame], wh: Ware
 
 def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse, params: RunParams,
                 run_id: str, report: dict, dim_tables: dict[str, DataFrame],
-                lake_root: str | None = None, snapshot_ts=None) -> None:
+                lake_root: str | None = None, snapshot_ts=None, mirror_root: str | None = None) -> None:
     # stored dimensions have file statistics: the planner's size check decides broadcasts
     star = Star(spark, domain, dataclasses.replace(params, broadcast_max_rows=None), dim_tables)
+    star.observations["fact_payments"] = Observation(f"payments-{run_id}")
     for name in FACT_ORDER:  # define the (lazy) plans on this thread
         star.table(name)
+    mirror = None if mirror_root is None else Mirror(spark, mirror_root, CONTRACTS)
 
     def step(name):
+        batch = None
         if lake_root is None and not path_exists(spark, wh.path(name)):
             # initial load, no snapshot: nothing to reconcile against, so the one
             # build is appended directly and counted from the written files
             wh.append_fact(name, star.table(name))
-            report.setdefault("appended", {})[name] = read_parquet(spark, wh.path(name)).count()
-            return
-        # the fact is built exactly once: its candidate rows are staged first
-        candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
-        batch = candidates
-        if path_exists(spark, wh.path(name)):
-            batch = wh.stage(name, only_new_rows(candidates, wh.existing_keys(name), FACT_KEYS[name]), run_id)
-        n = batch.count()
-        if lake_root is not None:
-            write_snapshot(batch, lake_root, name, snapshot_ts)
-        if n:
-            wh.append_fact(name, batch)
+            n = built = read_parquet(spark, wh.path(name)).count()
+        else:
+            # the fact is built exactly once: its candidate rows are staged first
+            candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
+            built = candidates.count()
+            batch = candidates
+            if path_exists(spark, wh.path(name)):
+                batch = wh.stage(name, only_new_rows(candidates, wh.existing_keys(name), FACT_KEYS[name]), run_id)
+            n = batch.count()
+            if lake_root is not None:
+                write_snapshot(batch, lake_root, name, snapshot_ts)
+            if n:
+                wh.append_fact(name, batch)
         report.setdefault("appended", {})[name] = n
+        report.setdefault("kept", {})[name] = built
+        report.setdefault("already_stored", {})[name] = built - n
+        if name in star.observations:
+            report.setdefault("dropped", {})[name] = dropped_rows(star, name, built)
+        if mirror is not None:
+            stored = conform(read_parquet(spark, wh.path(name)), STAR[name])
+            report.setdefault("mirrored", {})[name] = mirror.follow(name, stored, batch, FACT_KEYS[name], run_id)
 
     _concurrently(report, FACT_ORDER, step, params.parallel_steps)
 
 
+def dropped_rows(star: Star, name: str, built: int) -> int:
+    """Rows that the build of ``name`` left out, as observed while its rows were written."""
+    seen = star.observations[name].get
+    if seen["read"] - seen["dropped"] == built:
+        dropped = seen["dropped"]
+    else:   # tasks ran twice after a loss, and were counted twice: count what was left out
+        dropped = split_payments(star.payment_rows, star.dim_date)[1].count()
+    if dropped:
+        LOG.warning("%s: %d of %d rows dropped, their dates are not in dim_date", name, dropped, built + dropped)
+    return dropped
+
+
 def data_quality(star: Star) -> dict[str, list[dict]]:
     """All DQ results; each is at most a handful of rows (one per rule)."""
     out = {}
@@ -188,8 +219,12 @@ def verification(star: Star) -> dict[str, dict]:
 
 
 def run(spark: SparkSession, domain: dict[str, DataFrame], root: str, params: RunParams | None = None,
-        lake_root: str | None = None, with_checks: bool = True) -> dict:
-    """Full, re-runnable load of the star schema under ``root``; returns a run report."""
+        lake_root: str | None = None, with_checks: bool = True, mirror_root: str | None = None) -> dict:
+    """Full, re-runnable load of the star schema under ``root``; returns a run report.
+
+    Per fact it tells the rows kept by the build, already stored, and appended; for payments also those
+    dropped for their dates; and, with ``mirror_root``, the rows that the mirror step appended there.
+    """
     params = params or RunParams()
     run_id = uuid.uuid4().hex[:12]  # names this run's staging folder only; no data depends on it
     wh = Warehouse(spark, root)
@@ -199,7 +234,7 @@ def run(spark: SparkSession, domain: dict[str, DataFrame], root: str, params: Ru
         pre = Star(spark, domain, params)
         report["dq"] = _timed(report, "dq", lambda: data_quality(pre))
     dim_tables = build_dimensions(spark, domain, wh, params, run_id, report)
-    build_facts(spark, domain, wh, params, run_id, report, dim_tables, lake_root, params.load_ts)
+    build_facts(spark, domain, wh, params, run_id, report, dim_tables, lake_root, params.load_ts, mirror_root)
     if with_checks:
         star = stored_star(spark, root, params, domain)
         report["verify"] = _timed(report, "verify", lambda: verification(star))

@@ -11,7 +11,7 @@ from __future__ import annotations
 import dataclasses
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from starling.params import RunParams
 from starling.plans import dims, facts
@@ -25,6 +25,8 @@ class Star:
         self.domain = domain
         self.params = params
         self._given = dict(tables or {})
+        # counts to gather while a table is written, by table name
+        self.observations: dict[str, Observation] = {}
 
     @classmethod
     def from_sf_dir(cls, spark: SparkSession, sf_dir: str, params: RunParams | None = None) -> "Star":
@@ -101,18 +103,16 @@ class Star:
             self.claims, self.dim_customer, self.dim_county, self.policies, self.dim_policy_type,
             self.dim_claim_status, self.params))
 
-    @cached_property
-    def _payments_split(self):
-        return facts.fact_payments_split(self.policies, self.dim_customer, self.dim_county,
-                                         self.dim_policy_type, self.dim_date, self.params)
-
     @cached_property
     def fact_payments(self) -> DataFrame:
-        return self._get("fact_payments", lambda: self._payments_split[0])
+        return self._get("fact_payments", lambda: facts.fact_payments(
+            self.policies, self.dim_customer, self.dim_county, self.dim_policy_type, self.dim_date, self.params,
+            self.observations.get("fact_payments")))
 
-    @property
-    def dropped_payments(self) -> DataFrame:
-        return self._payments_split[1]
+    @cached_property
+    def payment_rows(self) -> DataFrame:
+        """Installments before the calendar check."""
+        return facts.payment_rows(self.policies, self.dim_customer, self.dim_county, self.dim_policy_type, self.params)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
