@@ -1,10 +1,9 @@
 """Key operators: new-row filter, valid/dropped split, surrogate keys, dense index,
 hash-based partner assignment.
 
-None of these funnels a table through one task: the dense index is computed
-from per-partition counts of a range-partitioned, sorted frame (the offsets
-table has one row per partition), and partner assignment is an equi-join on a
-hashed slot number.
+None of these funnels a table through one task, and none runs a job while it is
+built: the dense index numbers rows in buckets whose bounds are a bounded sample of the
+keys, and partner assignment is an equi-join on a hashed slot number.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from pyspark.sql import functions as F
 
 from starling.functions.hashing import hash32
 from starling.operators.lookup import checked_broadcast
-from starling.session import checkpoint_dir
 
-_ROW_BITS = 33  # monotonically_increasing_id(): partition index in the upper 31 bits
+SPLITS = 256    # buckets of a dense index
 
 
 def only_new_rows(incoming: DataFrame, existing: DataFrame | None, key: str) -> DataFrame:
@@ -53,32 +51,32 @@ def keep_observed(df: DataFrame, ref: DataFrame, key: str, observation: Observat
     return marked.where("_known").drop("_ref_key", "_known")
 
 
-def _pinned(df: DataFrame) -> DataFrame:
-    """Eager reliable checkpoint into the session's ``spark.checkpoint.dir``."""
-    if checkpoint_dir(df.sparkSession) is None:  # remote session without one: plan reuse only
-        return df
-    return df.checkpoint(eager=True)
+def dense_index(df: DataFrame, order_cols: list[str], name: str = "_idx", splits: int = SPLITS) -> DataFrame:
+    """Add a 0-based position of each row in the global order of ``order_cols`` (one plan, no jobs).
 
+    Splitters come from the data: keys are dealt to ``splits`` hash slots and each slot gives its
+    key with the smallest hash, a sample that is uniform over distinct keys, the same in
+    every evaluation, and at most ``splits`` rows.  A key's bucket is the number of splitters not
+    above it, so that buckets are ranges of about equal size.  The position is the number
+    of rows in earlier buckets (a window over one row per bucket) plus the rank in the bucket.
 
-def dense_index(df: DataFrame, order_cols: list[str], name: str = "_idx") -> DataFrame:
-    """Add a 0-based position of each row in the global order of ``order_cols``.
-
-    Range-partition + sort (distributed), pin the sorted rows with a reliable
-    checkpoint (so both uses below read the very same partitions, also after a
-    lost executor), tag rows with ``monotonically_increasing_id`` (partition id
-    | row in partition), count rows per partition (one row per partition), turn
-    counts into offsets with a window over that tiny table, and add the offset
-    back via a broadcast join (bounded by the number of partitions).
+    Rows with equal keys share a bucket and are numbered in any order; null keys come first.
     """
-    ordered = _pinned(df.orderBy(*order_cols)).withColumn("_mid", F.monotonically_increasing_id())
-    ordered = ordered.withColumn("_part", F.shiftright("_mid", _ROW_BITS))
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
-    row_in_part = F.col("_mid") - F.shiftleft(F.col("_part"), _ROW_BITS)
-    return (ordered.join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_offset") + row_in_part)
-            .drop("_mid", "_part", "_offset"))
+    own = df.columns
+    key = F.struct(*[F.col(f"`{c}`") for c in order_cols])
+    drawn = F.xxhash64(F.lit("splitter"), *[F.col(f"`{c}`") for c in order_cols])
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)], key.alias("k"), drawn.alias("h"))
+    sample = rows.groupBy(F.pmod("h", F.lit(splits)).alias("slot")).agg(F.min_by("k", "h").alias("k"))
+    splitters = sample.select(F.sort_array(F.collect_list("k")).alias("ks")).scalar()
+    placed = rows.withColumn("ks", splitters).withColumn("bucket", F.size(F.filter("ks", lambda s: s <= F.col("k"))))
+    counts = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # at most splits + 1 rows
+    offsets = counts.select("bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("skip"))
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy("k"))
+    found = placed.withColumn("rank", rank).join(F.broadcast(offsets), "bucket")
+    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(own)],
+                        (F.col("skip") + F.col("rank") - 1).alias(name))
 
 
 def assign_serial_keys(candidates: DataFrame, name_col: str, id_col: str,
@@ -100,7 +98,7 @@ def assign_serial_keys(candidates: DataFrame, name_col: str, id_col: str,
 
 
 def assign_partner(df: DataFrame, partners: DataFrame, partner_key: str, row_key: str,
-                   salt: str, out_col: str, max_broadcast_rows: int) -> DataFrame:
+                   salt: str, out_col: str, max_broadcast_rows: int | None = None) -> DataFrame:
     """Give every row one partner, chosen uniformly and reproducibly by hashing the row key.
 
     Partners are numbered 0..n-1 in key order (dense_index); a row gets slot

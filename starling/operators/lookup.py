@@ -31,11 +31,3 @@ def checked_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (document the bound at the call)."""
     return F.broadcast(df)
-
-
-def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, take: list[str],
-           how: str = "left") -> DataFrame:
-    """Left (default) equi-lookup of ``take`` columns; keys may be named differently."""
-    d = dim.select(F.col(dim_key).alias("_lk"), *take)
-    out = fact.join(d, fact[fact_key] == d["_lk"], how)
-    return out.drop("_lk")

@@ -23,8 +23,9 @@ class RunParams:
     calendar_end: _dt.date | None = None
     # "previous run" date used by the incremental (new rows only) queries
     prev_as_of: _dt.date = _dt.date(2000, 12, 31)
-    # rows at or below which a lookup side is broadcast (checked, see operators.lookup)
-    broadcast_max_rows: int | None = 2_000_000  # None: Spark's size statistics decide
+    # None: Spark's size statistics decide on broadcasts; a number: lookup sides of at most so many
+    # rows are broadcast, which costs a probe job per lookup when a query is built (operators.lookup)
+    broadcast_max_rows: int | None = None
     # years of history shown by the monthly queries (reference: CURRENT_DATE - 3 years .. now)
     trend_years: int = 3
     # concurrent independent steps in the full run (dimensions; then the three facts)

@@ -15,12 +15,10 @@ from starling.functions import columns as C
 from starling.functions.hashing import hash32, pick
 from starling.operators.expand import PAYMENT_DELAY_DAYS
 from starling.operators.keys import assign_serial_keys, only_new_rows
-from starling.operators.lookup import checked_broadcast
 from starling.params import RunParams
 from starling.schemas import DIM_AGENT, DIM_CUSTOMER, conform
 from starling.sources import literals
 
-REGION_MAP_MAX_ROWS = 1_000_000
 
 
 def dim_date(spark: SparkSession, policies: DataFrame | None, params: RunParams,
@@ -69,12 +67,11 @@ def region_of(df: DataFrame, county_col: str, region_map: DataFrame | None) -> D
     """Add ``region`` from a (county, region) lookup, default 'Other'.
 
     ``region_map=None`` uses the fixed 5-county literal map.  A lookup table is
-    one row per county, broadcast behind a checked row count.
+    one row per county; its size statistics decide whether it is broadcast.
     """
     if region_map is None:
         return df.withColumn("region", C.region_literal(F.col(county_col)))
-    rm = checked_broadcast(region_map.select(F.col("county").alias("_rc"), F.col("region").alias("_rr")),
-                           REGION_MAP_MAX_ROWS)
+    rm = region_map.select(F.col("county").alias("_rc"), F.col("region").alias("_rr"))
     out = df.join(rm, df[county_col] == rm["_rc"], "left")
     return out.withColumn("region", F.coalesce(F.col("_rr"), F.lit(C.REGION_DEFAULT))).drop("_rc", "_rr")
 

@@ -31,6 +31,43 @@ def test_dense_index_is_global_order_across_partitions(spark):
     assert sorted((r["v"], r["i"]) for r in out) == [(v, v) for v in range(5000)]
 
 
+def test_dense_index_of_shared_prefixes_nulls_ties_and_few_rows(spark):
+    from starling.operators.keys import SPLITS
+    words = spark.range(3000).select(F.concat(F.lit("AGENT-0000-"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("k"),
+                                     F.lit(9).alias("bucket"))      # a name that the operator uses itself
+    out = dense_index(words.repartition(6), ["k"], "i")
+    assert out.columns == ["k", "bucket", "i"]
+    assert [r["i"] for r in sorted(out.collect())] == list(range(3000))
+    # no bucket holds a large share of the rows
+    ks = words.groupBy(F.pmod(F.xxhash64(F.lit("splitter"), "k"), F.lit(SPLITS)).alias("s")).agg(
+        F.min_by("k", F.xxhash64(F.lit("splitter"), "k")).alias("k")).collect()
+    bounds = sorted(r["k"] for r in ks)
+    sizes = [0] * (len(bounds) + 1)
+    for r in words.collect():
+        sizes[sum(b <= r["k"] for b in bounds)] += 1
+    assert max(sizes) < 150
+    odd = spark.createDataFrame([("b", 1), (None, 2), ("a", 3), ("b", 4), (None, 5)], "k string, n int")
+    got = sorted((r["i"], r["k"]) for r in dense_index(odd, ["k"], "i").collect())
+    assert got == [(0, None), (1, None), (2, "a"), (3, "b"), (4, "b")]
+    assert sorted((r["i"], r["n"]) for r in dense_index(odd, ["k", "n"], "i").collect()) == [(0, 2), (1, 5), (2, 3), (3, 1), (4, 4)]
+    assert dense_index(odd.where("false"), ["k"], "i").collect() == []
+
+
+def test_no_query_runs_a_job_while_it_is_built(spark):
+    from starling.params import RunParams
+    from starling.plans import registry
+    from starling.plans.star import Star
+    from starling.sources import testbed
+    from tests.conftest import SF_SMALL
+    domain = testbed.domain(spark, SF_SMALL, RunParams())     # schemas of the files are read here
+    sc = spark.sparkContext
+    for name in ("dim_policy_type", "dim_agent", "fact_sales", "fact_payments", "sales_records", "hash_assigned_agent"):
+        sc.setJobGroup(f"build {name}", "")
+        registry.STAR_QUERIES[name](Star(spark, domain, RunParams()))
+        assert not sc.statusTracker().getJobIdsForGroup(f"build {name}"), name
+    sc._jsc.clearJobGroup()
+
+
 def test_serial_keys_continue_after_existing(spark):
     src = spark.createDataFrame([("Life",), ("Auto",), ("Life",), (None,), ("Home",)], "policy_type string")
     existing = spark.createDataFrame([(1, "Auto"), (7, "Health")], "policy_type_id int, policy_type string")
