@@ -458,9 +458,17 @@ Q["lookup_misses"] = with_ctes(["claims_joined"], "SELECT * FROM (" + _checks("c
 
 _FS_COLS = ["sale_id", "policy_id", "customer_id", "agent_id", "date_key", "policy_type_id", "county_id",
             "premium_amount", "commission_rate", "policy_type", "start_date", "end_date", "policy_status"]
-Q["null_profile"] = with_ctes(["fact_sales"], "SELECT * FROM (" + "\nUNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM fact_sales"
-    for c in _FS_COLS) + ")")
+_FACT_COLS = {
+    "fact_sales": _FS_COLS,
+    "fact_claims": ["claim_id", "policy_id", "customer_id", "date_key", "incident_date_key", "status_id", "county_id",
+                    "policy_type_id", "claim_type", "claim_amount", "approved_amount", "claim_status", "incident_date",
+                    "claim_date", "created_at"],
+    "fact_payments": ["payment_id", "policy_id", "customer_id", "date_key", "county_id", "policy_type_id", "payment_amount",
+                      "expected_amount", "variance", "is_full_payment", "payment_method", "payment_status",
+                      "payment_frequency", "is_late", "days_late", "payment_date", "due_date", "created_at"]}
+Q["null_profile"] = with_ctes(list(_FACT_COLS), "SELECT * FROM (" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM {t}"
+    for t, cols in _FACT_COLS.items() for c in cols) + ")")
 
 Q["value_counts"] = with_ctes(["fact_payments"], "SELECT * FROM (" + "\nUNION ALL ".join(
     f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n FROM fact_payments GROUP BY {c}"
@@ -559,7 +567,8 @@ FROM (SELECT payment_method, COUNT(*) AS payments, SUM(payment_amount) AS t
 
 Q["loss_ratio_tier"] = with_ctes(["fact_sales", "fact_claims", "dim_policy_type"], f"""
 SELECT policy_type, loss_ratio_pct,
-       CASE WHEN loss_ratio_pct > 100 THEN 'danger' WHEN loss_ratio_pct > 70 THEN 'warning' ELSE 'success' END AS tier
+       CASE WHEN loss_ratio_pct > 100 THEN 'danger' WHEN loss_ratio_pct > 70 THEN 'warning' ELSE 'success' END AS tier,
+       CAST(loss_ratio_pct AS VARCHAR) || '%' AS label
 FROM (
   SELECT policy_type,
          CAST(CAST({rdiv('a * 1000000', 'p * 100')} AS DECIMAL(38,0)) * 0.01 AS DOUBLE) AS loss_ratio_pct
@@ -569,6 +578,12 @@ FROM (
         LEFT JOIN fact_claims fc ON fc.policy_type_id = pt.policy_type_id
         GROUP BY pt.policy_type) t) x""")
 
+Q["label_positions"] = with_ctes(["fact_sales", "dim_county"], """
+SELECT county_name, total_premium, max(total_premium) OVER () AS max_premium,
+       ROUND(total_premium + max(total_premium) OVER () * 0.01, 2) AS label_at
+FROM (SELECT dc.county_name, CAST(ROUND(SUM(fs.premium_amount), 2) AS DOUBLE) AS total_premium
+      FROM fact_sales fs JOIN dim_county dc ON fs.county_id = dc.county_id GROUP BY dc.county_name) t""")
+
 Q["money_labels"] = with_ctes(["fact_sales", "dim_county"], """
 SELECT county_name, CAST(tp AS DOUBLE) AS total_premium,
        printf('KES %.2fM', CAST(tp AS DOUBLE) / 1000000) AS label_millions,

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.money import as_double, pct_of_counts, ratio_pct, round_sum
 from starling.operators.fanout import fanout_join, per_key
+from starling.operators.metrics import Metric, metric_set
 from starling.operators.lookup import bounded_broadcast, checked_broadcast
 from starling.plans.star import Star
 
@@ -223,28 +224,18 @@ def collections_corrected(star: Star) -> DataFrame:
         as_double(F.round(F.sum("c_sum"), 2)).alias("collected"))
 
 
-def metric_row(name: str, df: DataFrame, expr) -> DataFrame:
-    """One (metric, value-as-text) row from one aggregate over ``df``."""
-    return df.agg(expr.cast("string").alias("value")).select(F.lit(name).alias("metric"), "value")
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+SUMMARY = [
+    Metric("Total Customers", "customers"),
+    Metric("Total Policies", "policies"),
+    Metric("Total Claims", "claims"),
+    Metric("Gross Premium (KES)", "fact_sales", "premium_amount"),
+    Metric("Total Collected (KES)", "fact_payments", "payment_amount", where="payment_status = 'Completed'"),
+]
 
 
 def summary_stats(star: Star) -> DataFrame:
-    """Q-11: 5 platform metrics as (metric, text) -- one aggregate per table, stacked."""
-    completed = star.fact_payments.where(F.col("payment_status") == "Completed")
-    return union_all([
-        metric_row("Total Customers", star.customers, F.count(F.lit(1))),
-        metric_row("Total Policies", star.policies, F.count(F.lit(1))),
-        metric_row("Total Claims", star.claims, F.count(F.lit(1))),
-        metric_row("Gross Premium (KES)", star.fact_sales, round_sum("premium_amount")),
-        metric_row("Total Collected (KES)", completed, round_sum("payment_amount")),
-    ])
+    """Q-11: 5 platform metrics as (metric, text)."""
+    return metric_set(star.table, SUMMARY)
 
 
 def late_by_policy_type(star: Star) -> DataFrame:
@@ -290,7 +281,3 @@ def payments_by_method_status_top10(star: Star, k: int = 10) -> DataFrame:
 def ordered(df: DataFrame, *cols) -> DataFrame:
     """Presentation ordering (the reference's ORDER BY) for display/export."""
     return df.orderBy(*cols)
-
-
-def as_of_literal(star: Star) -> _dt.date:
-    return star.params.as_of

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from starling.functions.money import as_double
 from starling.operators.quality import count_checks, null_profile, value_counts, with_membership
+from starling.operators.reconcile import reconcile
 from starling.plans import facts
 from starling.plans.star import Star
-from starling.schemas import FACT_SALES
+from starling.schemas import STAR
 
 PREMIUM_MAX = 1_000_000
 
@@ -70,9 +71,13 @@ def lookup_misses(star: Star) -> DataFrame:
     ])
 
 
-def null_profile_sales(star: Star) -> DataFrame:
-    """AGG-18: null count of every fact_sales column."""
-    return null_profile(star.fact_sales, FACT_SALES.fieldNames())
+def null_profile_facts(star: Star) -> DataFrame:
+    """AGG-18: null count of every column of the three facts, one pass each."""
+    out = None
+    for name in ("fact_sales", "fact_claims", "fact_payments"):
+        one = null_profile(star.table(name), STAR[name].fieldNames()).select(F.lit(name).alias("table_name"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def value_counts_payments(star: Star) -> DataFrame:
@@ -90,13 +95,9 @@ def verify_sales(star: Star) -> DataFrame:
 
 def reconcile_claims(star: Star) -> DataFrame:
     """DQ-6: source vs fact counts, source claims missing from the fact, null amounts."""
-    src = with_membership(star.claims, "claim_id", star.fact_claims, "claim_id", "_loaded")
-    fc = star.fact_claims
-    # the fact-side numbers are scalar subqueries of one aggregate each
-    fact_rows = fc.select(F.count(F.lit(1))).scalar()
-    null_amounts = fc.select(F.count_if(F.col("claim_amount").isNull())).scalar()
-    return src.agg(F.count(F.lit(1)).alias("source_claims"), F.count_if(~F.col("_loaded")).alias("missing_rows")) \
-        .select("source_claims", fact_rows.alias("fact_claims"), "missing_rows", null_amounts.alias("null_amounts"))
+    found = reconcile(star.claims, star.fact_claims, "claim_id", {"null_amounts": F.col("claim_amount").isNull()})
+    return found.select("source_rows", "target_rows", "missing_rows", "null_amounts").toDF(
+        "source_claims", "fact_claims", "missing_rows", "null_amounts")
 
 
 def verify_payments(star: Star) -> DataFrame:

@@ -80,7 +80,7 @@ STAR_QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "dq_claims": Q.dq_claims,
     "dq_payments": Q.dq_payments,
     "lookup_misses": Q.lookup_misses,
-    "null_profile": Q.null_profile_sales,
+    "null_profile": Q.null_profile_facts,
     "value_counts": Q.value_counts_payments,
     "verify_sales": Q.verify_sales,
     "reconcile_claims": Q.reconcile_claims,
@@ -101,6 +101,7 @@ STAR_QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "payment_share": CH.payment_share,
     "loss_ratio_tier": CH.loss_ratio_tier,
     "money_labels": CH.money_labels,
+    "label_positions": CH.label_positions,
 }
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starling.functions.money import as_double, round_sum
 from starling.operators.lookup import bounded_broadcast, checked_broadcast
+from starling.operators.metrics import Metric, metric_set
 from starling.plans import analytics
 from starling.plans.star import Star
 
@@ -58,28 +59,28 @@ def v_monthly_trends(star: Star) -> DataFrame:
                                    as_double(round_sum("premium_amount")).alias("premium_volume"))
 
 
+VIEW_SUMMARY = [
+    Metric("Total Customers", "dim_customer"),
+    Metric("Total Policies", "fact_sales"),
+    Metric("Total Claims", "fact_claims"),
+    Metric("Total Payments", "fact_payments"),
+    Metric("Total Premium", "fact_sales", "premium_amount", 0),
+    Metric("Total Claimed", "fact_claims", "claim_amount", 0),
+    Metric("Total Collected", "fact_payments", "payment_amount", 0),
+]
+
+
 def v_summary_stats(star: Star) -> DataFrame:
-    """Q-20: 7 metrics as text; money rounded to whole units; collected has no status filter."""
-    metric = analytics.metric_row
-    return analytics.union_all([
-        metric("Total Customers", star.dim_customer, F.count(F.lit(1))),
-        metric("Total Policies", star.fact_sales, F.count(F.lit(1))),
-        metric("Total Claims", star.fact_claims, F.count(F.lit(1))),
-        metric("Total Payments", star.fact_payments, F.count(F.lit(1))),
-        metric("Total Premium", star.fact_sales, F.round(F.sum("premium_amount"), 0)),
-        metric("Total Claimed", star.fact_claims, F.round(F.sum("claim_amount"), 0)),
-        metric("Total Collected", star.fact_payments, F.round(F.sum("payment_amount"), 0)),
-    ])
+    """Q-20: 7 metrics over 4 tables as text; money rounded to whole units; collected has no status filter."""
+    return metric_set(star.table, VIEW_SUMMARY)
 
 
 DIMENSIONS = ["dim_date", "dim_customer", "dim_policy_type", "dim_county", "dim_agent", "dim_claim_status"]
 
 
 def dim_row_counts(star: Star) -> DataFrame:
-    """Q-21: row count per dimension table (one aggregate per table)."""
-    return analytics.union_all([
-        star.table(n).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
-        for n in DIMENSIONS])
+    """Q-21: row count per dimension table."""
+    return metric_set(star.table, [Metric(n, n) for n in DIMENSIONS], "table_name", "row_count", "long")
 
 
 VIEWS = {
