@@ -4,6 +4,7 @@
     python -m starling query   monthly_premium --sf-dir DIR [--warehouse WH] [--show 20]
     python -m starling report  --warehouse WH --sf-dir DIR
     python -m starling stream  --source DIR|TOPIC [--brokers HOSTS] --log DIR --checkpoint DIR [--policy strict|lenient]
+    python -m starling publish --warehouse WH --database NAME
     python -m starling list
 
 ``--as-of YYYY-MM-DD`` sets the run's "today" (default 2001-12-31 for the test tables).
@@ -32,6 +33,7 @@ def main(argv=None) -> int:
     p_load = sub.add_parser("load", help="build / extend the star schema (re-runnable)")
     p_query = sub.add_parser("query", help="run one named query")
     p_report = sub.add_parser("report", help="run every analytics query over a stored star schema")
+    p_publish = sub.add_parser("publish", help="tables and views of a stored star schema in the session catalog")
     p_stream = sub.add_parser("stream", help="decode a topic directory into the event log")
     sub.add_parser("list", help="list query names")
     for p in (p_load, p_query, p_report):
@@ -40,11 +42,16 @@ def main(argv=None) -> int:
         p.add_argument("--master", default=None)
     p_load.add_argument("--warehouse", required=True)
     p_load.add_argument("--lake")
+    p_load.add_argument("--input-gb", type=float, help="size of the source tables: sizes shuffles for a cluster")
+    p_load.add_argument("--cores", type=int, default=8, help="task slots of the cluster, with --input-gb")
     p_load.add_argument("--mirror", help="root of the mirror tables")
     p_query.add_argument("name")
     p_query.add_argument("--warehouse")
     p_query.add_argument("--show", type=int, default=20)
     p_report.add_argument("--warehouse", required=True)
+    p_publish.add_argument("--warehouse", required=True)
+    p_publish.add_argument("--database", required=True)
+    p_publish.add_argument("--master", default=None)
     p_stream.add_argument("--source", required=True)
     p_stream.add_argument("--log", required=True)
     p_stream.add_argument("--checkpoint", required=True)
@@ -63,8 +70,9 @@ def main(argv=None) -> int:
         print("\n".join(registry.ALL))
         return 0
 
-    from starling.session import build_session
-    spark = build_session(args.master)
+    from starling.session import build_session, cluster_conf
+    sized = getattr(args, "input_gb", None)
+    spark = build_session(args.master, conf=cluster_conf(int(sized * (1 << 30)), args.cores) if sized else None)
     if args.cmd == "load":
         from starling.plans import load
         from starling.sources import testbed
@@ -96,6 +104,9 @@ def main(argv=None) -> int:
             print(f"== {name}")
             analytics.ordered(registry.STAR_QUERIES[name](star),
                               *registry.order_columns(name)).show(50, truncate=False)
+    elif args.cmd == "publish":
+        from starling.plans import catalog
+        print(json.dumps(catalog.publish(spark, args.database, args.warehouse)))
     elif args.cmd == "stream":
         from starling.streaming import consumer
         policy = consumer.POLICIES[args.policy].with_limits(rows=args.batch_rows, files=args.batch_files)

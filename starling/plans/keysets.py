@@ -57,7 +57,7 @@ def orphan_customers(star: Star) -> DataFrame:
 
 
 def hash_assigned_agent(star: Star) -> DataFrame:
-    """JN-14: the agent each policy's sale was assigned to, and the agent's load."""
+    """JN-14: the agent each policy's sale was assigned to."""
     return star.fact_sales.select("policy_id", "agent_id")
 
 

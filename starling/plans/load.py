@@ -30,6 +30,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starling.operators.keys import only_new_rows
 from starling.params import RunParams
@@ -40,7 +41,7 @@ from starling.schemas import STAR, conform
 from starling.sinks.mirror import Contract, Mirror
 from starling.sinks.writers import append, write_snapshot
 from starling.session import checkpoint_dir
-from starling.sources.files import path_exists, read_parquet, require_rows
+from starling.sources.files import path_exists, read_parquet, remove_path, require_rows
 
 FACT_KEYS = {"fact_sales": "policy_id", "fact_claims": "claim_id", "fact_payments": "payment_id"}
 FACT_ORDER = ["fact_sales", "fact_claims", "fact_payments"]
@@ -63,23 +64,24 @@ class Warehouse:
     def existing(self, name: str) -> DataFrame | None:
         if not path_exists(self.spark, self.path(name)):
             return None
-        return conform(read_parquet(self.spark, self.path(name)), STAR[name])
+        return self.read(name).select(*STAR[name].names)
+
+    def schema(self, name: str) -> T.StructType:
+        """A stored table's declared columns; facts have their partition column (``date_month``) last."""
+        partition = [T.StructField(PARTITION_COL, T.DateType())] if name in FACT_KEYS else []
+        return T.StructType([*STAR[name].fields, *partition])
 
     def read(self, name: str) -> DataFrame:
-        """Stored table in its declared schema; facts keep their partition column
-        (``date_month``) last, so date filters can also prune partitions."""
-        df = read_parquet(self.spark, self.path(name))
-        cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in STAR[name].fields]
-        if name in FACT_KEYS and PARTITION_COL in df.columns:
-            cols.append(F.col(PARTITION_COL))
-        return df.select(*cols)
+        """Stored table in its declared schema (no footers are read); facts keep their partition
+        column, so date filters can also prune partitions."""
+        return read_parquet(self.spark, self.path(name), self.schema(name))
 
     def existing_keys(self, name: str) -> DataFrame | None:
         """Every stored key of a fact (only that column is read): a stored row may have no
         date or an older one, so no month range can stand in for the whole table."""
         if not path_exists(self.spark, self.path(name)):
             return None
-        return read_parquet(self.spark, self.path(name)).select(FACT_KEYS[name])
+        return self.read(name).select(FACT_KEYS[name])
 
     def stage(self, name: str, df: DataFrame, run_id: str) -> DataFrame:
         """Write the batch once and read it back: one fixed batch for count, snapshot and append.
@@ -87,10 +89,13 @@ class Warehouse:
         Staged under the cluster's checkpoint folder (``spark.checkpoint.dir``,
         read from the session), else under the warehouse root.
         """
-        base = checkpoint_dir(self.spark) or f"{self.root}/_staging"
-        path = f"{base.rstrip('/')}/starling-staging/{run_id}/{name}"
+        path = f"{self.staging(run_id)}/{name}"
         df.write.mode("errorifexists").parquet(path)
-        return read_parquet(self.spark, path)
+        return read_parquet(self.spark, path, df.schema)
+
+    def staging(self, run_id: str) -> str:
+        base = checkpoint_dir(self.spark) or f"{self.root}/_staging"
+        return f"{base.rstrip('/')}/starling-staging/{run_id}"
 
     def append_dim(self, name: str, batch: DataFrame) -> None:
         batch.write.mode("append").parquet(self.path(name))
@@ -166,7 +171,7 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
             # initial load, no snapshot: nothing to reconcile against, so the one
             # build is appended directly and counted from the written files
             wh.append_fact(name, star.table(name))
-            n = built = read_parquet(spark, wh.path(name)).count()
+            n = built = wh.read(name).count()
         else:
             # the fact is built exactly once: its candidate rows are staged first
             candidates = wh.stage(f"{name}_candidates", star.table(name), run_id)
@@ -185,7 +190,7 @@ def build_facts(spark: SparkSession, domain: dict[str, DataFrame], wh: Warehouse
         if name in star.observations:
             report.setdefault("dropped", {})[name] = dropped_rows(star, name, built)
         if mirror is not None:
-            stored = conform(read_parquet(spark, wh.path(name)), STAR[name])
+            stored = wh.existing(name)
             report.setdefault("mirrored", {})[name] = mirror.follow(name, stored, batch, FACT_KEYS[name], run_id)
 
     _concurrently(report, FACT_ORDER, step, params.parallel_steps)
@@ -238,6 +243,7 @@ def run(spark: SparkSession, domain: dict[str, DataFrame], root: str, params: Ru
     if with_checks:
         star = stored_star(spark, root, params, domain)
         report["verify"] = _timed(report, "verify", lambda: verification(star))
+    remove_path(spark, wh.staging(run_id))      # all of it is in the tables now
     return report
 
 

@@ -29,6 +29,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of one's own making, on any cluster file system; a missing one is no error."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Missing target table = empty frame with the declared schema; other errors propagate."""
     if not path_exists(spark, path):
