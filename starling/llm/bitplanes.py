@@ -49,6 +49,9 @@ MAGIC = b"STRLBPL1"
 BLOCK = 1 << 16        # ids per chunk
 CACHE = 600_000        # chunks of text per cache generation and worker
 LONGEST_CACHED = 64
+GROUP = 256            # new chunks per call of the tokenizer
+MARK = "\x01"
+JOIN = f" {MARK} ".encode()
 NO_DOC = -(1 << 63)    # stands for a null document id in files
 
 
@@ -171,29 +174,60 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_str(spec.decode())
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark_id = mark[0] if len(mark) == 1 else None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of every text as little-endian unsigned 32-bit integers."""
         split = [chunks_of(t) if t else [] for t in texts]
-        needed = set().union(*split)
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        missing = needed - self.young.keys()
-        found = {c: self.old[c] for c in missing if c in self.old}
-        parts = {c: cut_tail(c) for c in missing - found.keys()}
-        new = list({p for both in parts.values() for p in both} - self.young.keys() - found.keys())
-        coded = self.tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in new],
-                                                 add_special_tokens=False)
-        found.update((c, array("I", e.ids).tobytes()) for c, e in zip(new, coded))
+        get = self.young.get
+        known = [list(map(get, chunks)) for chunks in split]
+        lacking = [None in got for got in known]
+        absent = {c for chunks, got, lacks in zip(split, known, lacking) if lacks
+                  for c, ids in zip(chunks, got) if ids is None}
+        new = self.learn(absent) if absent else {}
+        return [b"".join([new[c] if ids is None else ids for c, ids in zip(chunks, got)] if lacks else got)
+                for chunks, got, lacks in zip(split, known, lacking)]
+
+    def learn(self, absent: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of chunks that the younger cache lacks; all but long ones enter it."""
+        found = {c: self.old[c] for c in absent if c in self.old}
+        parts = {c: cut_tail(c) for c in absent - found.keys()}
+        pieces = list({p for both in parts.values() for p in both} - self.young.keys() - found.keys())
+        found.update(zip(pieces, self.encode_chunks(pieces)))
         known = ChainMap(found, self.young)
         found.update([(c, known[body] + known[tail]) for c, (body, tail) in parts.items() if tail])
-        long = {c: found.pop(c) for c in [c for c in found if len(c) > LONGEST_CACHED]}
-        self.young.update(found)
-        if not long:
-            return [b"".join(map(self.young.__getitem__, words)) for words in split]
-        return [b"".join([long[w] if w in long else self.young[w] for w in words]) for words in split]
+        self.young.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_CACHED)
+        return found
+
+    def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
+        """Ids of each chunk, many chunks to a call: a mark of one id stands between them."""
+        if self.mark_id is None:
+            return [self.encode_one(c) for c in chunks]
+        out: list[bytes] = []
+        groups = [chunks[i:i + GROUP] for i in range(0, len(chunks), GROUP)]
+        coded = self.tokenizer.encode_batch_fast([JOIN.join(g).decode("utf-8", "replace") for g in groups],
+                                                 add_special_tokens=False)
+        for group, e in zip(groups, coded):
+            ids = np.array(e.ids, "<u4")
+            marks = np.flatnonzero(ids == self.mark_id)
+            if len(marks) != len(group) - 1:      # a chunk holds the mark itself
+                out.extend(self.encode_one(c) for c in group)
+                continue
+            raw, at = ids.tobytes(), 0
+            for m in (marks * 4).tolist():
+                out.append(raw[at:m])
+                at = m + 4
+            out.append(raw[at:])
+        return out
+
+    def encode_one(self, chunk: bytes) -> bytes:
+        e = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False)
+        return array("I", e.ids).tobytes()
 
 
 @functools.lru_cache(maxsize=2)
