@@ -164,19 +164,20 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], key: str =
               .select(F.col(f"`{key}`").alias("k"), *[F.col(f"`{c}`").cast("int").alias(f"y{i}")
                                                      for i, c in enumerate(categories)])
               .dropDuplicates(["k"]).orderBy(F.xxhash64("k"), "k").limit(most))
-    # at most ``most`` rows of a few integers: a proven bound
-    given = (docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
-             .join(F.broadcast(chosen), "k"))
     ys = [f"y{i}" for i in range(len(categories))]
+    # at most ``most`` rows of an id and a few integers: a proven bound; an id with several texts gives
+    # one of them, that of the smallest hash, so that what is collected is bounded too
+    given = (docs.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"))
+             .join(F.broadcast(chosen), "k").groupBy("k", *ys).agg(F.min_by("t", F.xxhash64("t")).alias("t")))
 
     def hashed(batches):
         hasher = Hasher()
         for batch in batches:
             b = [hasher(t).astype("<u2").tobytes() for t in batch.column("t").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("k").cast(pa.int64()), pa.array(b, pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(b, pa.binary()),
                                               *[batch.column(y) for y in ys]], names=["k", "b", *ys])
 
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("b", T.BinaryType()),
+    schema = T.StructType([T.StructField("k", given.schema["k"].dataType), T.StructField("b", T.BinaryType()),
                            *[T.StructField(y, T.IntegerType()) for y in ys]])
     rows = given.mapInArrow(hashed, schema).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["k"]).encode()), r["k"], bytes(r["b"])))

@@ -264,15 +264,16 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: in
     A row is known by its key and two hashes, of its text and of all its columns: rows that
     share an id, or have none, stay apart, and only rows equal in everything are one.
     """
-    own = df.columns
-    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
-    marked = df.withColumns({"_pv_text": F.xxhash64(F.lit("text"), F.col(f"`{text}`")),
-                             "_pv_row": F.xxhash64(F.lit("row"), *hashed)})
-    coded = fingerprints(marked, key, text, shingle, ("_pv_text", "_pv_row"))
-    name = F.struct(F.col(f"`{key}`").isNull().alias("none"), F.col(f"`{key}`").alias("_pv_key"),
-                    F.col("_pv_text").alias("_pv_t"), F.col("_pv_row").alias("_pv_r"))
+    own = [f"in_{i}" for i in range(len(df.columns))]     # by position, so that none clashes with the hashes
+    k, t = own[df.columns.index(key)], own[df.columns.index(text)]
+    rows = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, own)])
+    hashed = [F.col(f.name) for f in rows.schema if "map<" not in f.dataType.simpleString()]
+    marked = rows.withColumns({"t_hash": F.xxhash64(F.lit("text"), F.col(t)), "r_hash": F.xxhash64(F.lit("row"), *hashed)})
+    coded = fingerprints(marked, k, t, shingle, ("t_hash", "r_hash"))
+    name = F.struct(F.col(k).isNull().alias("none"), F.col(k).alias("f_key"), F.col("t_hash").alias("f_text"),
+                    F.col("r_hash").alias("f_row"))
     points = stage(coded.groupBy("fp").agg(F.min(name).alias("first")), "points")
     chosen = rooted(points, limit).groupBy("root").agg(F.min("first").alias("first")).select("first.*")
-    kept = marked.join(chosen, F.col(f"`{key}`").eqNullSafe(F.col("_pv_key"))
-                       & (F.col("_pv_text") == F.col("_pv_t")) & (F.col("_pv_row") == F.col("_pv_r")))
-    return kept.dropDuplicates([key, "_pv_text", "_pv_row"]).select(*[F.col(f"`{c}`") for c in own])
+    kept = marked.join(chosen, F.col(k).eqNullSafe(F.col("f_key")) & (F.col("t_hash") == F.col("f_text"))
+                       & (F.col("r_hash") == F.col("f_row")))
+    return kept.dropDuplicates([k, "t_hash", "r_hash"]).select(*[F.col(n).alias(c) for c, n in zip(df.columns, own)])

@@ -128,11 +128,11 @@ def assess(df: DataFrame, key: str = "doc_id", text: str = "text", rules=RULES)
 
 def keep_good(df: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """Only the rows that pass every rule, with their own columns."""
-    own = [c for c in df.columns]
-    m = measure(df, text, out="_qm")
+    # input columns by position, so that none clashes with a measure
+    rows = df.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(df.columns)])
+    m = measure(rows, f"_in_{df.columns.index(text)}", out="_qm")
     passed = F.lit(True)
     for r in rules:
         passed = passed & r.passes()
-    # rules read the struct's fields through a nested projection, so input columns cannot clash
-    verdict = m.select(*[F.col(f"`{c}`").alias(f"_in_{i}") for i, c in enumerate(own)], "_qm.*").where(passed)
-    return verdict.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(own)])
+    verdict = m.select(*rows.columns, "_qm.*").where(passed)
+    return verdict.select(*[F.col(f"_in_{i}").alias(c) for i, c in enumerate(df.columns)])
