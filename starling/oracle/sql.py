@@ -96,7 +96,7 @@ SELECT n.n_name AS county, r.r_name AS region FROM nation n JOIN region r ON n.n
 
 cte("calendar", ["policies"], f"""
 SELECT CAST(d AS DATE) AS date_key
-FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(start_date)) AS TIMESTAMP),
+FROM (SELECT unnest(generate_series(CAST(date_trunc('year', min(start_date) - 3) AS TIMESTAMP),
                                     CAST(DATE '2002-12-31' AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM policies)""")
 
 cte("dim_date", ["calendar"], """

@@ -26,15 +26,16 @@ def dim_date(spark: SparkSession, policies: DataFrame | None, params: RunParams,
     """Calendar with 13 attributes.
 
     Bounds: ``params.calendar_start/end`` when given (the reference uses
-    2019-01-01..2030-12-31), otherwise Jan 1 of the first policy year, derived from the data, through
-    Dec 31 of the year of the last payment possible: one due on ``as_of`` with the longest delay.
+    2019-01-01..2030-12-31), otherwise whole years from that of the first payment possible, derived
+    from the data (one made early, on the first policy), through that of the last one possible
+    (due on ``as_of``, with the longest delay).
     """
     last = params.as_of + _dt.timedelta(days=PAYMENT_DELAY_DAYS[1])
     end = params.calendar_end or _dt.date(last.year, 12, 31)
     if params.calendar_start is not None or policies is None:
         days = literals.calendar(spark, params.calendar_start or _dt.date(params.as_of.year, 1, 1), end)
     else:
-        bounds = policies.agg(F.trunc(F.min("start_date"), "year").alias("lo")).select(
+        bounds = policies.agg(F.trunc(F.date_add(F.min("start_date"), PAYMENT_DELAY_DAYS[0]), "year").alias("lo")).select(
             "lo", F.lit(end).alias("hi"))
         days = literals.calendar_from(bounds)
     out = days.select(*C.calendar_attributes("date_key"))
