@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +17,7 @@ from starling.session import configure, ensure_checkpoint_dir
 # white space that separates words everywhere in this subpackage: space and 0x09-0x0D
 WORD = r"[^\x20\x09-\x0D]+"
 # where the installed public tokenizers live; the path is a parameter of every operator that reads one
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
