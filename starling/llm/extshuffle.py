@@ -95,9 +95,12 @@ def write_shards(df: DataFrame, path: str, key: str = "doc_id", text: str = "tex
     done = shuffle_buckets(scatter(df, key, text, n_shards, bucket_bytes, seed), key, seed)
     done.write.option("compression", "zstd").parquet(path)
     written = df.sparkSession.read.schema(done.schema).parquet(path)
+    before = "_before"
+    while before in [c.lower() for c in written.columns]:     # a name that the input does not use
+        before += "_"
     earlier = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # one row per bucket
     offsets = (written.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-               .select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")))
+               .select("shard", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(before)))
     return (written.drop("slot").join(offsets, ["shard", "bucket"])
-            .withColumn("slot", F.col("_before") + F.col("place")).drop("_before"))
+            .withColumn("slot", F.col(before) + F.col("place")).drop(before))

@@ -124,3 +124,13 @@ def test_training_takes_one_text_per_id_and_any_id_type(spark):
     chain = chains.train(docs, labels, ["toxic"])
     got = {r["doc_id"]: r["p"][0] for r in chains.score(docs.where("text not like 'copy%'"), chain).collect()}
     assert got["d3"] > 0.5 > got["d2"]
+
+
+def test_shards_of_rows_whose_columns_clash(spark, odd):
+    from starling.llm import extshuffle
+    from starling.llm.common import scratch
+    wide = odd.withColumns({"_before": F.lit("x"), "_before_": F.lit("y")})
+    done = extshuffle.write_shards(wide, scratch(spark, "t")).collect()
+    assert len(done) == odd.count() and {(r["_before"], r["_before_"]) for r in done} == {("x", "y")}
+    for shard in {r["shard"] for r in done}:
+        assert sorted(r["slot"] for r in done if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in done)))
