@@ -26,14 +26,15 @@ from __future__ import annotations
 import functools
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
-from collections import ChainMap
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
@@ -41,17 +42,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers
 
-from starling.llm.common import TOKENIZER, chunks_of, cut_tail, scratch, slices, stage
+from starling.llm.common import TOKENIZER, cut_tail, gathered, scratch, slices, stage
 
 MAGIC = b"STRLBPL1"
 BLOCK = 1 << 16        # ids per chunk
 CACHE = 600_000        # chunks of text per cache generation and worker
 LONGEST_CACHED = 64
 GROUP = 256            # new chunks per call of the tokenizer
+SLICE = 8 << 20        # bytes of text that are split and laid out at a time
+TAIL = ".,;:!?%&*#$"   # ASCII punctuation that is cut off a chunk's end
+# letters and digits that it is cut off after
+ENDS = "".join(c for c in map(chr, range(0x30, 0x530)) if cut_tail(f"{c}.".encode())[1])
 MARK = "\x01"
 JOIN = f" {MARK} ".encode()
+PLAIN = "".join(c for c in map(chr, range(0x21, 0x7F)) if c == c.lower())
+GAP = re.compile(r"[\t-\r ]")
 NO_DOC = -(1 << 63)    # stands for a null document id in files
 
 
@@ -93,9 +100,10 @@ class Writer:
         self.at = len(MAGIC)
         out.write(MAGIC)
 
-    def add(self, doc: int, ids: np.ndarray) -> None:
-        self.docs.append(doc)
-        self.counts.append(len(ids))
+    def add(self, docs: list[int], counts: list[int], ids: np.ndarray) -> None:
+        """Documents in a row: their ids, how many of them each has, and all of these in one array."""
+        self.docs += docs
+        self.counts += counts
         self.pending.append(ids)
         self.held += len(ids)
         if self.held >= self.block:
@@ -162,57 +170,137 @@ def read_documents(f, size: int):
 
 
 # ---- encoding ------------------------------------------------------------
+def as_strings(texts: pa.Array) -> pa.Array:
+    """Texts as strings, null ones empty, broken UTF-8 replaced."""
+    texts = pc.fill_null(texts, b"" if pa.types.is_binary(texts.type) else "")
+    try:
+        return texts.cast(pa.string())
+    except pa.ArrowInvalid:
+        return pa.array([t.decode("utf-8", "replace") for t in texts.cast(pa.binary()).to_pylist()], pa.string())
+
+
+def as_written(texts: pa.Array) -> pa.Array:
+    """Texts whose A-Z must not be lowered before they are cut (see ``common.chunks_of``)."""
+    return pc.or_(pc.match_substring(texts, "<|"), pc.match_substring(texts.cast(pa.binary()), b"\xcc"))
+
+
+def cut_tails(chunks: pa.Array) -> list[pa.Array]:
+    """Bodies and tails of chunks: punctuation after a letter or digit is a piece of its own.
+
+    The letters are those of ``common.cut_tail``; the tail is empty where nothing can be cut safely.
+    """
+    body = pc.ascii_rtrim(chunks, TAIL)
+    safe = pc.match_substring_regex(body, f"[{ENDS}]$")
+    tail = pc.replace_substring_regex(chunks, f"(?s)^.*[^{TAIL}]", "")
+    return [pc.if_else(safe, body, chunks), pc.if_else(safe, tail, "")]
+
+
+def starts_of(lengths: np.ndarray) -> np.ndarray:
+    return np.cumsum(lengths) - lengths
+
+
+def gather(pool: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The stretches of ``pool`` that begin at ``begin`` and have the given lengths, one after another."""
+    return pool[np.repeat(begin - starts_of(lengths), lengths) + np.arange(lengths.sum())]
+
+
+def cuts_of(text: str, size: int) -> list[str]:
+    """A text in pieces of about ``size`` characters, cut at white space only."""
+    pieces, at = [], 0
+    while len(text) - at > size:
+        found = GAP.search(text, at + size)
+        if not found:
+            break
+        pieces.append(text[at:found.start()])
+        at = found.start()
+    return [*pieces, text[at:]]
+
+
 class LibraryEncoder:
     """Ids by the tokenizers library, which sees each distinct chunk between white space once.
 
     White space only separates words for this vocabulary, so the ids of a text are
-    those of its chunks in a row.
+    those of its chunks in a row.  A slice of texts is split, and its distinct chunks are
+    found, by Arrow; Python looks each distinct piece up once, and numpy lays out the ids.
     """
 
     def __init__(self, spec: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_str(spec.decode())
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer, self.plain = [Tokenizer.from_str(spec.decode()) for _ in range(2)]
+        for t in (self.tokenizer, self.plain):
+            t.no_truncation()
+            t.no_padding()
+        # printable lower-case ASCII chunks need no normalizer where it leaves such letters alone
+        normal = self.plain.normalizer
+        if normal is not None and normal.normalize_str(PLAIN) == PLAIN:
+            self.plain.normalizer = normalizers.Sequence([])
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    def encode_all(self, texts: list[bytes | None]) -> list[bytes]:
-        """Ids of every text as little-endian unsigned 32-bit integers."""
-        split = [chunks_of(t) if t else [] for t in texts]
+    def encode_all(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each followed by ``end_id``, and how many each text has."""
+        texts = as_strings(texts)
+        if len(texts) == 1 and len(whole := texts[0].as_py()) > SLICE:
+            written = as_written(texts)[0].as_py()
+            parts = [self.encode_slice(pa.array([p], pa.string()), pa.array([written]))[0] for p in cuts_of(whole, SLICE)]
+            ids = np.concatenate(parts)
+            counts = np.array([len(ids)])
+        else:
+            ids, counts = self.encode_slice(texts, as_written(texts))
+        if end_id is not None:
+            ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+        return ids, counts
+
+    def encode_slice(self, texts: pa.Array, written: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        chunks = pc.ascii_split_whitespace(pc.if_else(written, texts, pc.ascii_lower(texts)))
+        coded = chunks.flatten().dictionary_encode()
+        pieces = pa.concat_arrays(cut_tails(coded.dictionary)).dictionary_encode()
+        ids_of = self.look_up(pieces.dictionary.cast(pa.binary()).to_pylist())
+        pool = np.frombuffer(b"".join(ids_of), "<u4")
+        lengths = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
+        # first the ids of each distinct chunk, from its two pieces, then those of all chunks
+        pairs = pieces.indices.to_numpy().reshape(2, -1).T
+        pool = gather(pool, starts_of(lengths)[pairs].ravel(), lengths[pairs].ravel())
+        lengths = lengths[pairs].sum(axis=1)
+        index = coded.indices.to_numpy()
+        n = lengths[index]
+        ids = gather(pool, starts_of(lengths)[index], n)
+        offsets = chunks.offsets.to_numpy()
+        edges = np.concatenate([[0], np.cumsum(n)])
+        return ids, np.diff(edges[offsets - offsets[0]])
+
+    def look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces, as little-endian unsigned 32-bit integers; all but long ones are cached."""
         if len(self.young) > CACHE:
             self.old, self.young = self.young, {}
-        get = self.young.get
-        known = [list(map(get, chunks)) for chunks in split]
-        lacking = [None in got for got in known]
-        absent = {c for chunks, got, lacks in zip(split, known, lacking) if lacks
-                  for c, ids in zip(chunks, got) if ids is None}
-        new = self.learn(absent) if absent else {}
-        return [b"".join([new[c] if ids is None else ids for c, ids in zip(chunks, got)] if lacks else got)
-                for chunks, got, lacks in zip(split, known, lacking)]
-
-    def learn(self, absent: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of chunks that the younger cache lacks; all but long ones enter it."""
-        found = {c: self.old[c] for c in absent if c in self.old}
-        parts = {c: cut_tail(c) for c in absent - found.keys()}
-        pieces = list({p for both in parts.values() for p in both} - self.young.keys() - found.keys())
-        found.update(zip(pieces, self.encode_chunks(pieces)))
-        known = ChainMap(found, self.young)
-        found.update([(c, known[body] + known[tail]) for c, (body, tail) in parts.items() if tail])
-        self.young.update((c, ids) for c, ids in found.items() if len(c) <= LONGEST_CACHED)
+        found = list(map(self.young.get, pieces))
+        absent = [i for i, ids in enumerate(found) if ids is None]
+        new = []
+        for i in absent:
+            ids = found[i] = self.old.get(pieces[i])
+            if ids is None:
+                new.append(i)
+        for i, ids in zip(new, self.encode_chunks([pieces[i] for i in new])):
+            found[i] = ids
+        self.young.update([(pieces[i], found[i]) for i in absent if len(pieces[i]) <= LONGEST_CACHED])
         return found
 
     def encode_chunks(self, chunks: list[bytes]) -> list[bytes]:
         """Ids of each chunk, many chunks to a call: a mark of one id stands between them."""
         if self.mark_id is None:
             return [self.encode_one(c) for c in chunks]
+        simple = [c.isascii() and c == c.lower() and c.decode().isprintable() for c in chunks]
+        plain = iter(self.encode_joined([c for c, is_plain in zip(chunks, simple) if is_plain], self.plain))
+        others = iter(self.encode_joined([c for c, is_plain in zip(chunks, simple) if not is_plain], self.tokenizer))
+        return [next(plain if is_plain else others) for is_plain in simple]
+
+    def encode_joined(self, chunks: list[bytes], tokenizer: Tokenizer) -> list[bytes]:
         out: list[bytes] = []
         groups = [chunks[i:i + GROUP] for i in range(0, len(chunks), GROUP)]
-        coded = self.tokenizer.encode_batch_fast([JOIN.join(g).decode("utf-8", "replace") for g in groups],
-                                                 add_special_tokens=False)
-        for group, e in zip(groups, coded):
+        for group in groups:
+            e = tokenizer.encode_batch_fast([JOIN.join(group).decode("utf-8", "replace")], add_special_tokens=False)[0]
             ids = np.array(e.ids, "<u4")
             marks = np.flatnonzero(ids == self.mark_id)
             if len(marks) != len(group) - 1:      # a chunk holds the mark itself
@@ -252,7 +340,6 @@ def write_ids(df: DataFrame, folder: str, key: str = "doc_id", text: str = "text
         raise ValueError("planes: 'byte' or 'bit'")
     with open(tokenizer, "rb") as f:
         spec = df.sparkSession.sparkContext.broadcast(f.read())
-    end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
     docs = df.select(F.col(f"`{key}`").cast("long").alias("k"), F.col(f"`{text}`").cast("binary").alias("t"))
     docs = docs.withColumn("h", F.xxhash64("t"))
     order = [F.col("k").asc_nulls_first(), F.col("h").asc()]
@@ -264,15 +351,14 @@ def write_ids(df: DataFrame, folder: str, key: str = "doc_id", text: str = "text
         fs, root = pafs.FileSystem.from_uri(folder)
         coder, writer, out = library_encoder(spec.value), None, None
         final, own = f"{root}/part-{part:07d}.bpl", f"{root}/.part-{part:07d}-{attempt}-{uuid.uuid4().hex[:8]}"
-        for batch in batches:
-            for piece in slices(batch, "t"):
+        for batch in gathered(batches, "t", SLICE):
+            for piece in slices(batch, "t", SLICE):
                 if writer is None:
                     fs.create_dir(root, recursive=True)
                     out = fs.open_output_stream(own)
                     writer = Writer(out, planes, block)
-                coded = coder.encode_all(piece.column("t").to_pylist())
-                for k, ids in zip(piece.column("k").to_pylist(), coded):
-                    writer.add(NO_DOC if k is None else k, np.frombuffer(ids + end, "<u4"))
+                ids, counts = coder.encode_all(piece.column("t"), end_id)
+                writer.add(pc.fill_null(piece.column("k"), NO_DOC).to_pylist(), counts.tolist(), ids)
         if writer is None:
             return
         writer.close()

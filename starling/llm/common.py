@@ -123,6 +123,23 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iter
         yield batch.slice(start)
 
 
+def gathered(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Join small batches until a text/binary column holds about ``max_bytes``."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += pc.sum(pc.binary_length(batch.column(column))).as_py() or 0
+        if size >= max_bytes:
+            yield joined(held)
+            held, size = [], 0
+    if held:
+        yield joined(held)
+
+
+def joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0] if len(batches) > 1 else batches[0]
+
+
 def replace_column(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     """The batch with one column replaced, its field kept in place."""
     i = batch.schema.get_field_index(name)

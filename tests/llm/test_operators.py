@@ -434,3 +434,28 @@ def test_pipeline_stages_keep_clean_documents(spark):
     out = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in out} <= {i for i, _ in ids}
     assert out[0]["token_ids"] and F is not None
+
+
+def test_library_encoder_equals_library_by_slices(monkeypatch):
+    import random
+
+    import pyarrow as pa
+    with open(TOKENIZER, "rb") as f:
+        coder = bitplanes.LibraryEncoder(f.read())
+    rng = random.Random(11)
+    signs = [*"abXYZİéüñßÅJHTWY.,;:!?%&*#$'<|>-_019 \t\n\x01\x1c\x85ıſΣς漢字", "̸", "̀", "̌",
+             "　", "<|endoftext|>", "'s"]
+    made = ["".join(rng.choices(signs, k=rng.randint(0, 25))) for _ in range(4000)]
+    want = [e.ids for e in coder.tokenizer.encode_batch(made, add_special_tokens=False)]
+    ids, counts = coder.encode_all(pa.array([t.encode() for t in made], pa.binary()), 1)
+    assert ids.tolist() == [i for w in want for i in [*w, 1]] and counts.tolist() == [len(w) + 1 for w in want]
+    # one text longer than a slice is coded in parts
+    monkeypatch.setattr(bitplanes, "SLICE", 500)
+    whole = " ".join(made)
+    ids, counts = coder.encode_all(pa.array([whole.encode()]))
+    assert ids.tolist() == coder.tokenizer.encode(whole, add_special_tokens=False).ids == ids[:counts[0]].tolist()
+    # null, empty and broken texts
+    ids, counts = coder.encode_all(pa.array([None, b"", b" \n"], pa.binary()), 1)
+    assert ids.tolist() == [1, 1, 1] and counts.tolist() == [1, 1, 1]
+    ids, _ = coder.encode_all(pa.array([b"\xff a\xc3"], pa.binary()))
+    assert ids.tolist() == coder.tokenizer.encode("� a�", add_special_tokens=False).ids
