@@ -4,6 +4,7 @@
     python -m starling query   monthly_premium --sf-dir DIR [--warehouse WH] [--show 20]
     python -m starling report  --warehouse WH --sf-dir DIR
     python -m starling stream  --source DIR|TOPIC [--brokers HOSTS] --log DIR --checkpoint DIR [--policy strict|lenient]
+    python -m starling compact --log DIR [--counts DIR] [--policy strict|lenient] [--keep N]
     python -m starling publish --warehouse WH --database NAME
     python -m starling list
 
@@ -35,6 +36,7 @@ def main(argv=None) -> int:
     p_report = sub.add_parser("report", help="run every analytics query over a stored star schema")
     p_publish = sub.add_parser("publish", help="tables and views of a stored star schema in the session catalog")
     p_stream = sub.add_parser("stream", help="decode a topic directory into the event log")
+    p_compact = sub.add_parser("compact", help="merge the micro-batches of an event log")
     sub.add_parser("list", help="list query names")
     for p in (p_load, p_query, p_report):
         p.add_argument("--sf-dir", required=p is not p_report)
@@ -63,6 +65,11 @@ def main(argv=None) -> int:
     p_stream.add_argument("--follow", action="store_true", help="run for ever instead of reading what there is")
     p_stream.add_argument("--policy", choices=["strict", "lenient"], default="strict")
     p_stream.add_argument("--master", default=None)
+    p_compact.add_argument("--log", required=True)
+    p_compact.add_argument("--counts", help="folder of the counts per micro-batch (default: beside the log)")
+    p_compact.add_argument("--policy", choices=["strict", "lenient"], default="strict")
+    p_compact.add_argument("--keep", type=int, default=1, help="newest micro-batches that are not merged")
+    p_compact.add_argument("--master", default=None)
     args = ap.parse_args(argv)
 
     from starling.plans import registry
@@ -107,6 +114,10 @@ def main(argv=None) -> int:
     elif args.cmd == "publish":
         from starling.plans import catalog
         print(json.dumps(catalog.publish(spark, args.database, args.warehouse)))
+    elif args.cmd == "compact":
+        from starling.streaming import compaction, consumer
+        sinks = consumer.Sinks(args.log, args.counts or f"{args.log.rstrip('/')}-counts")
+        print(json.dumps(compaction.compact_all(spark, sinks, consumer.POLICIES[args.policy], args.keep)))
     elif args.cmd == "stream":
         from starling.streaming import consumer
         policy = consumer.POLICIES[args.policy].with_limits(rows=args.batch_rows, files=args.batch_files)

@@ -29,6 +29,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under a folder, in order; none where it is missing."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory()) if fs.exists(hpath) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of one's own making, on any cluster file system; a missing one is no error."""
     hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
