@@ -37,6 +37,13 @@ apache-2: apache license version 2
 cc-by-nc: cc by nc
 """
 
+# the phrases of the registered query, fixed by its contract
+QUERY_BASE = """
+mit: under the mit license
+apache-2: apache license version 2
+cc-by-nc: cc by nc
+"""
+
 # machine-readable identifiers
 TAGS = """
 mit: spdx license identifier mit
@@ -433,9 +440,9 @@ def _spellings(word: str) -> list[str]:
     return [w for c in at[1] for w in _spellings(word[:at.start()] + c + word[at.end():])]
 
 
-def compiled() -> tuple[Rule, ...]:
-    """All rules in order of priority."""
-    tables = {"tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES, "base": BASE}
+def compiled(base: str = BASE) -> tuple[Rule, ...]:
+    """All rules in order of priority, with the given base phrases."""
+    tables = {"tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES, "base": base}
     rules = []
     for kind, lines in tables.items():
         for line in lines.strip().splitlines():
@@ -445,3 +452,5 @@ def compiled() -> tuple[Rule, ...]:
 
 
 RULES = compiled()
+# the rules of the registered query
+QUERY_RULES = compiled(QUERY_BASE)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starling.llm.license_rules import KINDS, RULES
+from starling.llm.license_rules import KINDS, QUERY_RULES
 from starling.llm.thresholds import STOP_WORDS
 
 _STOP = ", ".join(sorted({f"'{f}'" for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())}))
@@ -118,7 +118,7 @@ def _op13() -> str:
     kinds = list(KINDS)
     rules = ",\n  ".join(f"({i}, {kinds.index(r.kind)}, '{r.label}', '  ({wide(r.pattern)})  ', "
                          + "[" + ", ".join("[" + ", ".join(f"'{w}'" for w in s) + "]" for s in r.required) + "])"
-                         for i, r in enumerate(RULES))
+                         for i, r in enumerate(QUERY_RULES))
     base = kinds.index("base")
     trust = "[" + ", ".join(str(v) for v in KINDS.values()) + "]"
     return f"""

@@ -4,6 +4,7 @@ import hashlib
 import os
 import random
 import re
+import tempfile
 import zlib
 from collections import defaultdict
 
@@ -269,6 +270,27 @@ def test_rules_are_many_and_gated_by_words_they_need():
     assert required_words("(?:red|blue) open(?:ed)? (?:free code|x) hat") == (("blue", "red"), ("hat",))
 
 
+def base_places(text):
+    """n_words, n_base, first_word, last_word, base_labels as the query's contract defines them."""
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+    phrases = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+    hits = [(i, label) for p, label in phrases.items() for i in range(len(words)) if words[i:i + p.count(" ") + 1] == p.split()]
+    starts = [i for i, _ in hits]
+    return (len(words), len(hits), min(starts, default=None), max(starts, default=None),
+            ",".join(sorted({label for _, label in hits})))
+
+
+def test_op13_query_reports_the_phrases_of_its_contract(spark):
+    texts = [None, "", "The MIT License", "It is under the MIT License.", "UNDER-THE-MIT-LICENSE, under the mit license",
+             "under the the mit license", "CC-BY-NC 4.0 or Apache License, Version 2.0", "under the m\u0130t license",
+             "x under the MIT \u212aicense under the mit licenses under the mit license cc by nc"]
+    folder = tempfile.mkdtemp(prefix="licenses-")
+    prepared(spark, [(i, t, "en") for i, t in enumerate(texts)]).write.parquet(f"{folder}/documents.parquet")
+    got = {r["doc_id"]: tuple(r)[1:6] for r in queries.op13_license_rules(spark, folder).collect()}
+    assert got == {i: base_places(t) for i, t in enumerate(texts)}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
