@@ -1,8 +1,10 @@
 """Reconciliation of two tables by key: digests per key bucket first, rows only where these differ.
 
 A bucket's digest does not depend on the order of its rows (count, sum and exclusive or of
-64-bit key hashes).  Equal tables cost one scan each: the list of differing buckets is
-empty, and adaptive execution drops the comparison of rows before it starts.
+64-bit key hashes).  If no bucket differs, the rows to compare are filtered out by a scalar subquery
+before they are exchanged: adaptive execution starts all exchanges of a plan at once, also those
+whose result is never read, so an empty list of buckets alone comes too late for tables that are joins.
+Equal plain tables cost one scan each.
 """
 
 from __future__ import annotations
@@ -42,9 +44,11 @@ def compared(source: DataFrame, target: DataFrame) -> DataFrame:
 def missing_keys(source: DataFrame, target: DataFrame, key: str, unequal: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Source rows with a key that the target lacks, looked for in the given buckets only."""
     few = F.broadcast(unequal.select("bucket"))     # at most one row per bucket
+    some = unequal.agg(F.count(F.lit(1))).scalar() > 0      # known before a task of the rows' plan starts
 
     def within(df):
-        return df.select("*", bucket_of(key, buckets).alias("bucket")).join(few, "bucket", "left_semi").drop("bucket")
+        near = df.where(some).select("*", bucket_of(key, buckets).alias("bucket"))
+        return near.join(few, "bucket", "left_semi").drop("bucket")
 
     keys = within(target.select(key)).select(F.col(key).alias("_target_key"))
     rows = within(source.where(F.col(key).isNotNull()))
