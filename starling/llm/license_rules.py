@@ -28,8 +28,10 @@ class Rule:
 
 
 # kinds in order of priority with the trust put in one detection of the kind; ``base`` are the phrases
-# that every scan reports whatever else is found there, so that they need not suppress anything
-KINDS = {"tag": 1.0, "text": 0.95, "notice": 0.9, "link": 0.8, "name": 0.7, "clue": 0.3, "base": 1.0}
+# that every scan reports whatever else is found there, so that they need not suppress anything, and
+# ``contract`` the ones that the registered query reports in the same way in columns of their own
+KINDS = {"tag": 1.0, "text": 0.95, "notice": 0.9, "link": 0.8, "name": 0.7, "clue": 0.3, "base": 1.0, "contract": 1.0}
+ALWAYS = ("base", "contract")
 
 BASE = """
 mit: the mit license
@@ -37,8 +39,9 @@ apache-2: apache license version 2
 cc-by-nc: cc by nc
 """
 
-# the phrases of the registered query, fixed by its contract
-QUERY_BASE = """
+# the phrases whose places the registered query counts, fixed by its contract; looked for beside all
+# other rules, never in place of one
+CONTRACT = """
 mit: under the mit license
 apache-2: apache license version 2
 cc-by-nc: cc by nc
@@ -440,9 +443,10 @@ def _spellings(word: str) -> list[str]:
     return [w for c in at[1] for w in _spellings(word[:at.start()] + c + word[at.end():])]
 
 
-def compiled(base: str = BASE) -> tuple[Rule, ...]:
-    """All rules in order of priority, with the given base phrases."""
-    tables = {"tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES, "base": base}
+def compiled(contract: str = "") -> tuple[Rule, ...]:
+    """All rules in order of priority, and after them the given phrases of a contract."""
+    tables = {"tag": TAGS, "text": TEXTS, "notice": NOTICES, "link": LINKS, "name": NAMES, "clue": CLUES, "base": BASE,
+              "contract": contract}
     rules = []
     for kind, lines in tables.items():
         for line in lines.strip().splitlines():
@@ -453,4 +457,4 @@ def compiled(base: str = BASE) -> tuple[Rule, ...]:
 
 RULES = compiled()
 # the rules of the registered query
-QUERY_RULES = compiled(QUERY_BASE)
+QUERY_RULES = compiled(CONTRACT)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starling.llm.common import let, once
-from starling.llm.license_rules import KINDS, RULES, Rule
+from starling.llm.license_rules import ALWAYS, KINDS, RULES, Rule
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 MARK = "\x01"      # no word holds it
@@ -133,20 +133,36 @@ def labels(detections: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.transform(detections, lambda h: h["label"]))), ",")
 
 
-def report(found: DataFrame) -> DataFrame:
-    """Counts, base places and labels, all labels and a score per row of ``scan``.
+# columns for the places of a kind: their number, the first and the last one's first word, their labels
+PLACES = {"base": ("n_base", "first_word", "last_word", "base_labels")}
+# of the registered query: its contract's phrases, and then the base phrases
+QUERY_PLACES = {"contract": PLACES["base"], "base": ("n_phrases", "first_phrase", "last_phrase", "phrase_labels")}
+
+
+def report(found: DataFrame, places: dict[str, tuple[str, ...]] = PLACES) -> DataFrame:
+    """Counts, places and labels of the first kind of ``places``, all labels, a score, then the other kinds' columns.
 
     The score is the greatest trust put in a detection that stands, 0 if there is none.
     """
-    base_kind = list(KINDS).index("base")
-    base = F.filter("detections", lambda h: h["kind"] == base_kind)
-    told = F.filter("detections", lambda h: h["stands"] | (h["kind"] == base_kind))
+    numbers = {kind: i for i, kind in enumerate(KINDS)}
+    told = F.filter("detections", lambda h: h["stands"] | h["kind"].isin([numbers[k] for k in ALWAYS]))
     trust = F.array(*[F.lit(float(v)) for v in KINDS.values()])
     rest = [c for c in found.columns if c not in ("n_words", "detections")]
-    found = once(found.select(*rest, "n_words", F.struct(base.alias("base"), told.alias("told")).alias("d")), "d", F.col("d"))
-    starts = F.transform("d.base", lambda h: h["first"].cast("long"))
+
+    def of(kind):
+        return F.filter("detections", lambda h: h["kind"] == numbers[kind]).alias(kind)
+
+    lists = F.struct(*map(of, places), told.alias("told"))
+    found = once(found.select(*rest, "n_words", lists.alias("d")), "d", F.col("d"))
+
+    def columns(kind):
+        hits = F.col(f"d.{kind}")
+        starts = F.transform(hits, lambda h: h["first"].cast("long"))
+        values = (F.size(hits).cast("long"), F.array_min(starts), F.array_max(starts), labels(hits))
+        return [v.alias(n) for v, n in zip(values, places[kind])]
+
+    first, *others = places
     return found.select(
-        *rest, "n_words", F.size("d.base").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
-        F.array_max(starts).alias("last_word"), labels(F.col("d.base")).alias("base_labels"),
-        labels(F.col("d.told")).alias("labels"),
-        F.coalesce(F.array_max(F.transform("d.told", lambda h: F.get(trust, h["kind"]))), F.lit(0.0)).alias("score"))
+        *rest, "n_words", *columns(first), labels(F.col("d.told")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("d.told", lambda h: F.get(trust, h["kind"]))), F.lit(0.0)).alias("score"),
+        *[c for kind in others for c in columns(kind)])

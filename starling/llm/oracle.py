@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starling.llm.license_rules import KINDS, QUERY_RULES
+from starling.llm.license_rules import ALWAYS, KINDS, QUERY_RULES
 from starling.llm.thresholds import STOP_WORDS
 
 _STOP = ", ".join(sorted({f"'{f}'" for w in STOP_WORDS for f in (w, w.capitalize(), w.upper())}))
@@ -119,7 +119,8 @@ def _op13() -> str:
     rules = ",\n  ".join(f"({i}, {kinds.index(r.kind)}, '{r.label}', '  ({wide(r.pattern)})  ', "
                          + "[" + ", ".join("[" + ", ".join(f"'{w}'" for w in s) + "]" for s in r.required) + "])"
                          for i, r in enumerate(QUERY_RULES))
-    base = kinds.index("base")
+    base, contract = kinds.index("base"), kinds.index("contract")
+    always = ", ".join(str(kinds.index(k)) for k in ALWAYS)
     trust = "[" + ", ".join(str(v) for v in KINDS.values()) + "]"
     return f"""
 WITH rules(rule, kind, label, pattern, needs) AS (VALUES
@@ -142,20 +143,25 @@ found AS (
 hits AS (
   SELECT rid, rule, kind, label, first::BIGINT AS first, first + len(string_split(m, '  ')) AS stop FROM found),
 standing AS (
-  SELECT * FROM hits a WHERE kind = {base} OR NOT EXISTS (
+  SELECT * FROM hits a WHERE kind IN ({always}) OR NOT EXISTS (
     SELECT 1 FROM hits b WHERE b.rid = a.rid AND (b.rule, b.first) <> (a.rule, a.first) AND (
       (b.first <= a.first AND b.stop >= a.stop AND (b.kind < a.kind OR (b.kind = a.kind AND (
          b.stop - b.first > a.stop - a.first OR b.rule < a.rule))))
       OR (b.first >= a.first AND b.stop <= a.stop AND b.kind < a.kind)))),
 totals AS (
-  SELECT rid, count(*) FILTER (WHERE kind = {base}) AS n_base, min(first) FILTER (WHERE kind = {base}) AS first_word,
-         max(first) FILTER (WHERE kind = {base}) AS last_word,
-         list_sort(list_distinct(list(label) FILTER (WHERE kind = {base}))) AS base_labels,
+  SELECT rid, count(*) FILTER (WHERE kind = {contract}) AS n_base, min(first) FILTER (WHERE kind = {contract}) AS first_word,
+         max(first) FILTER (WHERE kind = {contract}) AS last_word,
+         list_sort(list_distinct(list(label) FILTER (WHERE kind = {contract}))) AS base_labels,
+         count(*) FILTER (WHERE kind = {base}) AS n_phrases, min(first) FILTER (WHERE kind = {base}) AS first_phrase,
+         max(first) FILTER (WHERE kind = {base}) AS last_phrase,
+         list_sort(list_distinct(list(label) FILTER (WHERE kind = {base}))) AS phrase_labels,
          list_sort(list_distinct(list(label))) AS labels, max({trust}[kind + 1]) AS score
   FROM standing GROUP BY rid)
 SELECT b.doc_id, len(b.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
        coalesce(array_to_string(base_labels, ','), '') AS base_labels,
-       coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score
+       coalesce(array_to_string(labels, ','), '') AS labels, coalesce(score, 0)::DOUBLE AS score,
+       coalesce(n_phrases, 0)::BIGINT AS n_phrases, first_phrase, last_phrase,
+       coalesce(array_to_string(phrase_labels, ','), '') AS phrase_labels
 FROM base b LEFT JOIN totals t ON b.rid = t.rid
 """
 

@@ -291,6 +291,20 @@ def test_op13_query_reports_the_phrases_of_its_contract(spark):
     assert got == {i: base_places(t) for i, t in enumerate(texts)}
 
 
+def test_op13_query_does_the_whole_scan(spark):
+    # the scan's own phrases too, not only the contract's: places, labels and score of "the mit license" without "under"
+    texts = [None, "The MIT License", "under the MIT License", "see the mit license, the mit license or cc by nc",
+             "the MIT license, cc by nc sa 4 0, all rights reserved", "permission granted as in the mit license file"]
+    folder = tempfile.mkdtemp(prefix="licenses-")
+    prepared(spark, [(i, t, "en") for i, t in enumerate(texts)]).write.parquet(f"{folder}/documents.parquet")
+    got = queries.op13_license_rules(spark, folder)
+    names = ["n_phrases", "first_phrase", "last_phrase", "phrase_labels", "labels", "score"]
+    whole = licenses.report(licenses.scan(prepared(spark, [(i, t, "en") for i, t in enumerate(texts)])))
+    want = {r["doc_id"]: tuple(r)[2:] for r in whole.collect()}
+    assert {r["doc_id"]: tuple(r[n] for n in names) for r in got.collect()} == want
+    assert want[1] == (1, 0, 0, "mit", "mit", 1.0) and want[3] == (3, 1, 8, "cc-by-nc,mit", "cc-by-nc,mit", 1.0)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
