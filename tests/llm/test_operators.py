@@ -134,6 +134,82 @@ def test_exchange_gain_is_exact():
         assert gain == pytest.approx(max(values) - values[of[w]], abs=1e-6)
 
 
+def test_exchange_of_many_words_equals_that_of_one():
+    rng = np.random.default_rng(1)
+    words, k = 60, 9
+    for _ in range(10):
+        pairs = rng.integers(0, 3, (words, words)) * (rng.random((words, words)) < 0.08).astype(float)
+        of = rng.integers(0, k - 1, words)
+        of[-3:] = k - 1
+        n = np.zeros((k, k))
+        np.add.at(n, (of[:, None].repeat(words, 1), of[None, :].repeat(words, 0)), pairs)
+        own = pairs.diagonal()
+        sides = [np.stack([np.bincount(of, row, k) for row in m]) for m in (pairs, pairs.T)]
+        for side in sides:
+            side[np.arange(words), of] -= own
+        for movable in (4, k - 1):
+            w = np.flatnonzero(of < k - 1)
+            entries = [(*np.nonzero(side[w]), side[w][np.nonzero(side[w])]) for side in sides]
+            got = brown.best_classes(of[w], *entries, own[w], n, movable)
+            for i, v in enumerate(w):
+                if of[v] < movable:
+                    assert got[i] == brown.best_class(of[v], sides[0][v], sides[1][v], own[v], n, movable)[0]
+
+
+@pytest.mark.parametrize("bucket_rows, block", [(brown.BUCKET_ROWS, brown.BLOCK_TOKENS), (300, 200)])
+def test_brown_moves_every_training_word(spark, monkeypatch, bucket_rows, block):
+    # many buckets of the tail and many blocks, or one of each
+    monkeypatch.setattr(brown, "BUCKET_ROWS", bucket_rows)
+    monkeypatch.setattr(brown, "BLOCK_TOKENS", block)
+    rng = random.Random(7)
+    kinds = [[f"{kind}{i}{end}" for i in range(40) for end in "xyz"] for kind in ("noun", "verb", "name")]
+    rows = [(i, " ".join(rng.choice(kinds[j % 3]) if j % 5 else rng.choice(["of", "the"]) for j in range(rng.randint(0, 40))))
+            for i in range(150)]
+    rows += [(200, None), (201, ""), (None, "noun1x verb1x"), (202, "Noun1x noun1x noun1x"), (202, "Noun1x noun1x noun1x"),
+             (203, "never seen")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    docs = brown.documents(frame, "doc_id", "text")
+    model = brown.fit(docs, share=8, k=4, rounds=4)
+    of = dict(zip(model.words, model.classes.tolist()))
+    count = collections.Counter(dict(zip(model.words, model.counts.tolist())))
+    keyed = {}
+    told = {r["bucket"]: brown.expand(bytes(r["after"]))[0] for r in model.sent.where("src = -1").collect()}
+    for r in model.tail.collect():
+        steps, n = brown.expand(bytes(r["keys"]))
+        keyed |= dict(zip(np.cumsum(steps, dtype=np.uint64).tolist(), zip(told[r["bucket"]].tolist(), n.tolist())))
+    assert 2 <= len(of) < 16 and len(keyed) > 300 and (len(told) > 10) == (bucket_rows == 300)
+
+    end, size = b"", 4 + brown.RARE + 1
+    cut = [(i, [end, *brown.words_of((t or "").encode()), end]) for i, t in rows]
+    held = {i: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for i, _ in rows}
+    train = collections.Counter(w for i, words in cut for w in words[1:] if not held[i])
+    for w in {w for _, words in cut for w in words} - {end} - set(of):
+        of[w], count[w] = keyed[brown.key_of(w)]
+    of[end], count[end] = size - 1, train[end]
+    assert {w: n for w, n in count.items() if n} == dict(train)
+    # a learned class for every word of the training texts but the few whose best one is where they begin
+    learned = [of[w] < 4 for w in train if w != end]
+    assert sum(learned) > 0.9 * len(learned)
+    assert model.history[-1] > max(model.history[:5]) and model.history == sorted(model.history)
+
+    moves = np.zeros((size, size))
+    for i, words in cut:
+        for a, b in zip(words, words[1:]):
+            moves[of[a], of[b]] += not held[i]
+    assert (moves == model.moves).all() and model.history[-1] == pytest.approx(brown.likelihood(moves))
+    monkeypatch.setattr(brown, "fit", lambda *_: model)
+    kinds_in = collections.Counter(of[w] for w in train)
+    mass = moves.sum(axis=0)
+    got = collections.Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["score"], 6)) for r in
+                              brown.score(frame, share=8, k=4, rounds=4).collect())
+    want = collections.Counter()
+    for i, words in cut:
+        p = sum(math.log10((moves[of[a], of[b]] + 0.5) / (moves[of[a]].sum() + 0.5 * size)
+                           * (count[b] + 0.1) / (mass[of[b]] + 0.1 * (kinds_in[of[b]] + 1))) for a, b in zip(words, words[1:]))
+        want[i, len(words) - 1, sum(train[w] > 0 for w in words[1:]), round(p, 6)] += 1
+    assert got == want
+
+
 def test_chain_learns_and_stays_whole(spark, empty):
     rng = random.Random(5)
     rows = []
